@@ -67,7 +67,7 @@ def member_pairs(
     rows = rows.select(*key, F.col(member).alias("_m"))
     hot, n_hot = hot_keys(rows, key, hot_rows)
     if not n_hot:
-        return _self_join(rows, key, F.col("a") < F.col("b"))
+        return _self_join(rows, key).select(*key, F.col("_x").alias("a"), F.col("_y").alias("b"))
     placed = rows.join(hot, key, "left").withColumn(
         "_blocks", F.ceil(F.coalesce("_rows", F.lit(1)) / block_rows).cast("int")
     )
@@ -84,11 +84,13 @@ def member_pairs(
     )
 
 
-def _self_join(rows: DataFrame, key: list[str], condition: Column) -> DataFrame:
-    rest = [c for c in rows.columns if c not in key and c != "_m"]
-    left = rows.select(*key, F.col("_m").alias("a"), *[F.col(c).alias(f"{c}a") for c in rest])
-    right = rows.select(*key, F.col("_m").alias("b"), *[F.col(c).alias(f"{c}b") for c in rest])
-    return left.join(right, key).where(condition)
+def _self_join(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``key..., _x, _y`` with _x < _y, and both weights as ``_wx`` and ``_wy`` if there are any."""
+    names = {"_m": "_x", "_w": "_wx"}, {"_m": "_y", "_w": "_wy"}
+    left, right = (
+        rows.select(*key, *[F.col(c).alias(side[c]) for c in side if c in rows.columns]) for side in names
+    )
+    return left.join(right, key).where(F.col("_x") < F.col("_y"))
 
 
 def pair_totals(
@@ -116,9 +118,9 @@ def pair_totals(
     rows = rows.where(F.col(member).isNotNull()).select(*key, F.col(member).alias("_m"), *weights)
     hot, n_hot = hot_keys(rows, key, hot_rows)
     hot = hot.select(*key)
-    parts = _self_join(rows.join(hot, key, "left_anti") if n_hot else rows, key, F.col("a") < F.col("b")).select(
-        *by, "a", "b", F.lit(1).cast("long").alias("n"),
-        *([(F.col("_wa") * F.col("_wb")).alias("dot")] if weight else []),
+    parts = _self_join(rows.join(hot, key, "left_anti") if n_hot else rows, key).select(
+        *by, F.col("_x").alias("a"), F.col("_y").alias("b"), F.lit(1).cast("long").alias("n"),
+        *([(F.col("_wx") * F.col("_wy")).alias("dot")] if weight else []),
     )
     if n_hot:
         hot_part = settle(rows.join(hot, key, "left_semi"))
