@@ -17,6 +17,7 @@ from minelark.operators import clusters as C
 from minelark.operators import links as L
 from minelark.operators import neardup as N
 from minelark.operators import similarity as S
+from minelark.plans.lineage import settle
 from minelark.sources import sinks
 from minelark.sources.views import load
 
@@ -45,7 +46,7 @@ def adjacency_parse(spark, sf_dir):
 
 @query
 def common_neighbour_pairs(spark, sf_dir):
-    return L.common_neighbour_pairs(load(spark, sf_dir, "edges"))
+    return L.common_neighbour_pairs(settle(load(spark, sf_dir, "edges")))
 
 
 @query
@@ -80,10 +81,20 @@ def average_support(support: DataFrame) -> Column:
     return support.agg(F.ceil(F.avg("n"))).scalar()
 
 
+def mined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Baskets, item support and the items with at least average support, stored for reuse."""
+    rows = settle(baskets(spark, sf_dir))
+    support = settle(B.item_support(rows))
+    return rows, support, B.frequent_items(support, support.agg(F.ceil(F.avg("n"))).scalar())
+
+
+def basket_count(rows: DataFrame) -> Column:
+    return rows.agg(F.count_distinct("basket")).scalar()
+
+
 @query
 def frequent_items(spark, sf_dir):
-    support = item_support(spark, sf_dir)
-    return B.frequent_items(support, average_support(support))
+    return mined(spark, sf_dir)[2]
 
 
 @query
@@ -93,48 +104,49 @@ def infrequent_items(spark, sf_dir):
 
 @query
 def frequent_pairs(spark, sf_dir):
-    return B.frequent_pairs(baskets(spark, sf_dir), frequent_items(spark, sf_dir))
+    rows, _, items = mined(spark, sf_dir)
+    return B.frequent_pairs(rows, items)
 
 
 @query
 def ordered_pairs(spark, sf_dir):
-    return B.ordered_pairs(frequent_pairs(spark, sf_dir), frequent_items(spark, sf_dir))
+    rows, _, items = mined(spark, sf_dir)
+    return B.ordered_pairs(B.frequent_pairs(rows, items), items)
 
 
 @query
 def frequent_triples_top10(spark, sf_dir):
-    return B.frequent_triples(baskets(spark, sf_dir), frequent_items(spark, sf_dir))
+    rows, _, items = mined(spark, sf_dir)
+    return B.frequent_triples(rows, items)
 
 
 @query
 def ordered_triples(spark, sf_dir):
-    rows, items = baskets(spark, sf_dir), frequent_items(spark, sf_dir)
+    rows, _, items = mined(spark, sf_dir)
     triples = B.frequent_itemsets(rows, items, 3).withColumnsRenamed({"i1": "i", "i2": "j", "i3": "z"})
-    return B.ordered_triples(triples, frequent_pairs(spark, sf_dir), items)
-
-
-def basket_count(rows: DataFrame) -> Column:
-    return rows.agg(F.count_distinct("basket")).scalar()
+    return B.ordered_triples(triples, B.frequent_pairs(rows, items), items)
 
 
 @query
 def association_rules(spark, sf_dir):
-    rows, support = baskets(spark, sf_dir), item_support(spark, sf_dir)
-    rules = B.association_rules(frequent_pairs(spark, sf_dir), support, support, basket_count(rows), 0.05, 0.01)
+    rows, support, items = mined(spark, sf_dir)
+    rules = B.association_rules(B.frequent_pairs(rows, items), support, support, basket_count(rows), 0.05, 0.01)
     return rounded(rules, 6, "confidence", "interest")
 
 
 @query
 def association_rules_from_triples(spark, sf_dir):
-    rows, items, support = baskets(spark, sf_dir), frequent_items(spark, sf_dir), item_support(spark, sf_dir)
-    triples = B.frequent_itemsets(rows, items, 3)
-    rules = B.association_rules(triples, frequent_pairs(spark, sf_dir), support, basket_count(rows), 0.05, 0.05)
+    rows, support, items = mined(spark, sf_dir)
+    triples, pairs = B.frequent_itemsets(rows, items, 3), B.frequent_pairs(rows, items)
+    rules = B.association_rules(triples, pairs, support, basket_count(rows), 0.05, 0.05)
     return rounded(rules, 6, "confidence", "interest")
 
 
 @query
 def legacy_rule_scores(spark, sf_dir):
-    return rounded(B.legacy_rule_bounds(ordered_pairs(spark, sf_dir)), 6, "confidence")
+    rows, _, items = mined(spark, sf_dir)
+    pairs = settle(B.ordered_pairs(B.frequent_pairs(rows, items), items))
+    return rounded(B.legacy_rule_bounds(pairs), 6, "confidence")
 
 
 @query
@@ -173,7 +185,7 @@ def minhash_signatures(spark, sf_dir):
 
 @query
 def lsh_band_candidates(spark, sf_dir):
-    return N.lsh_candidates(N.settle(N.band_keys(N.minhash(distinct_sets(spark, sf_dir)))))
+    return N.lsh_candidates(settle(N.band_keys(N.minhash(distinct_sets(spark, sf_dir)))))
 
 
 @query
@@ -188,7 +200,7 @@ def lsh_jaccard_lines(spark, sf_dir):
 
 @query
 def jaccard_all_pairs(spark, sf_dir):
-    return rounded(N.jaccard_join(N.settle(distinct_sets(spark, sf_dir)), 0.5), 6, "jaccard")
+    return rounded(N.jaccard_join(settle(distinct_sets(spark, sf_dir)), 0.5), 6, "jaccard")
 
 
 # similarity
@@ -204,40 +216,44 @@ def demeaned_matrix(spark, sf_dir):
     return rounded(S.demean_matrix(ratings_pivot(spark, sf_dir), "user_id"), 6, *oracles.EVENT_TYPES)
 
 
+def stored_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle(load(spark, sf_dir, "ratings"))
+
+
 @query
 def demeaned_ratings(spark, sf_dir):
-    return rounded(S.demean(load(spark, sf_dir, "ratings")), 6, "mean", "centred")
+    return rounded(S.demean(stored_ratings(spark, sf_dir)), 6, "mean", "centred")
 
 
 @query
 def similarity_to_item(spark, sf_dir):
-    return rounded(S.similarity_to(load(spark, sf_dir, "ratings"), 1), 6, "sim")
+    return rounded(S.similarity_to(stored_ratings(spark, sf_dir), 1), 6, "sim")
 
 
 @query
 def similarity_sign_counts(spark, sf_dir):
-    return S.sign_counts(S.similarity_to(load(spark, sf_dir, "ratings"), 1))
+    return S.sign_counts(S.similarity_to(stored_ratings(spark, sf_dir), 1))
 
 
 @query
 def item_similarity(spark, sf_dir):
-    return rounded(S.item_similarity(load(spark, sf_dir, "ratings")), 6, "sim")
+    return rounded(S.item_similarity(stored_ratings(spark, sf_dir)), 6, "sim")
 
 
 @query
 def user_similarity(spark, sf_dir):
-    return rounded(S.user_similarity(load(spark, sf_dir, "ratings")), 4, "sim")
+    return rounded(S.user_similarity(stored_ratings(spark, sf_dir)), 4, "sim")
 
 
 @query
 def user_similarity_dimsum(spark, sf_dir):
-    return rounded(S.sampled_user_similarity(load(spark, sf_dir, "ratings"), 0.05), 4, "sim")
+    return rounded(S.sampled_user_similarity(stored_ratings(spark, sf_dir), 0.05), 4, "sim")
 
 
 @query
 def predicted_ratings(spark, sf_dir):
-    ratings = load(spark, sf_dir, "ratings")
-    nearest = S.nearest_items(item_similarity(spark, sf_dir), 10)
+    ratings = stored_ratings(spark, sf_dir)
+    nearest = S.nearest_items(rounded(S.item_similarity(ratings), 6, "sim"), 10)
     predicted = S.with_titles(S.predict(ratings, nearest), load(spark, sf_dir, "movies"))
     return rounded(predicted, 4, "predicted")
 
