@@ -99,6 +99,7 @@ def pair_totals(
     member: str,
     weight: str | None = None,
     by: Sequence[str] = (),
+    without: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
     keys_per_cell: int = KEYS_PER_CELL,
@@ -107,6 +108,8 @@ def pair_totals(
 
     With ``weight`` also ``dot``, the sum over those keys of the product of both weights.
     ``by`` names key columns kept in the result. ``rows`` holds each (key, member) once.
+    Pairs ``a, b`` listed in ``without`` are left out: they join the same aggregate as rows
+    with a count of 0, which needs neither another shuffle nor a sort of the pairs.
 
     Keys up to ``hot_rows`` members go through a self-join that feeds a partial aggregate.
     The members of larger keys form a key x member matrix that is multiplied block by
@@ -128,7 +131,12 @@ def pair_totals(
             _blocked_products(hot_part, n_hot, key, by, block_rows, keys_per_cell)
         )
     totals = [F.sum("n").alias("n")] + ([F.sum("dot").alias("dot")] if weight else [])
-    return parts.groupBy(*by, "a", "b").agg(*totals)
+    if without is None:
+        return parts.groupBy(*by, "a", "b").agg(*totals)
+    barred = without.select("a", "b", F.lit(0).cast("long").alias("n"))
+    parts = parts.unionByName(barred, allowMissingColumns=True)
+    least = F.min("n").alias("_least")
+    return parts.groupBy(*by, "a", "b").agg(*totals, least).where("_least > 0").drop("_least")
 
 
 def _blocked_products(
