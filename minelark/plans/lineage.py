@@ -33,6 +33,7 @@ def settle(df: DataFrame) -> DataFrame:
     it replaces, which grows without bound from round to round.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/minelark/{uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/minelark/{run}/{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

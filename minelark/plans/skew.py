@@ -85,7 +85,13 @@ def member_pairs(
 
 
 def _self_join(rows: DataFrame, key: list[str]) -> DataFrame:
-    """``key..., _x, _y`` with _x < _y, and both weights as ``_wx`` and ``_wy`` if there are any."""
+    """``key..., _x, _y`` with _x < _y, and both weights as ``_wx`` and ``_wy`` if there are any.
+
+    The result is far larger than the input, so the rows are spread over all shuffle
+    partitions: a small input would else be joined, by broadcast, in a task per input file.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(partitions, *key)
     names = {"_m": "_x", "_w": "_wx"}, {"_m": "_y", "_w": "_wy"}
     left, right = (
         rows.select(*key, *[F.col(c).alias(side[c]) for c in side if c in rows.columns]) for side in names
@@ -161,7 +167,7 @@ def _blocked_products(
     )
 
     def multiply(cell: pd.DataFrame) -> pd.DataFrame:
-        keys, column = np.unique(cell["_k"].to_numpy(), return_inverse=True)
+        column, keys = pd.factorize(cell["_k"])
         sides = []
         for side in ("lo", "hi"):
             here = (cell["block"] == cell[side]).to_numpy()
