@@ -333,14 +333,21 @@ def cluster_summary(spark, sf_dir):
     return rounded(C.cluster_summary(load(spark, sf_dir, "vectors")), 4, "first_feature", "last_feature")
 
 
+try:  # the operators for training text can be taken out of the library; nothing else needs them
+    from minelark.llm.oracles import ORACLES as TEXT_SQL
+    from minelark.llm.queries import QUERIES as TEXT_QUERIES
+except ImportError:
+    TEXT_QUERIES, TEXT_SQL = {}, {}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The best ten friend suggestions per user at the smallest scale."""
     return friend_suggestions_topn(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **TEXT_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return {**oracles.oracle_sql(), **TEXT_SQL}
