@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minelark.llm import line_dedup, quality
+from minelark.llm import line_dedup, pii, quality, secret_scan, token_counts
+from minelark.llm.spans import span_digests
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def base_counts(spans: str, kinds: tuple[str, ...]) -> list[Column]:
+    """The number ``n_<kind>`` of base spans of each kind."""
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s.base & (s.kind == kind))).cast("long").alias(f"n_{kind}")
+
+    return [of(kind) for kind in kinds]
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    digests = span_digests(F.col("secrets"), secret_scan.BASE_KINDS, secret_scan.KINDS)
+    counts = base_counts("secrets", secret_scan.BASE_KINDS)
+    return found.select("doc_id", *counts, digests.alias("d")).select("*", "d.*").drop("d")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -22,4 +40,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), str(path))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    digests = span_digests(F.col("pii"), pii.BASE_KINDS, pii.KINDS)
+    return found.select("doc_id", *base_counts("pii", pii.BASE_KINDS), digests.alias("d")).select("*", "d.*").drop("d")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}

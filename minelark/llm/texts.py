@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,16 @@ def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*old, *[column.alias(name) for name, column in columns.items()])
 
 
+def slices(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The texts of an Arrow column in order, in lists of about ``size`` bytes; a longer text stands alone."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // size, prepend=0))
+    bounds = [0, *cuts[cuts > 0].tolist(), len(column)]
+    for start, end in zip(bounds, bounds[1:]):
+        if start < end:
+            yield column.slice(start, end - start).to_pylist()
+
+
 # Numpy side. Texts are UTF-8 bytes; none of the bytes of a multi-byte character is white space or a letter A-Z.
 
 _SEED = np.random.default_rng(20231107)
