@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minelark.llm import line_dedup, pii, quality, secret_scan, token_counts
+from minelark.llm import line_dedup, near_dedup, pii, quality, secret_scan, token_counts
 from minelark.llm.spans import span_digests
 
 
@@ -52,4 +52,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *base_counts("pii", pii.BASE_KINDS), digests.alias("d")).select("*", "d.*").drop("d")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
