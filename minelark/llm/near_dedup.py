@@ -73,12 +73,15 @@ def sketches(text: Column) -> Column:
     return sketch(text)
 
 
-@arrow_udf("int")
-def agreeing(left: pa.Array, right: pa.Array) -> pa.Array:
+def agreeing(left: str, right: str) -> Column:
     """In how many places two signatures agree."""
-    pairs = zip(left.to_pylist(), right.to_pylist())
-    same = [int((np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)).sum()) for a, b in pairs]
-    return pa.array(same, pa.int32())
+
+    @arrow_udf("int")
+    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
+        pairs = zip(a.to_pylist(), b.to_pylist())
+        return pa.array([int((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).sum()) for x, y in pairs], pa.int32())
+
+    return agree(left, right)
 
 
 def enough_agreement(percent: int) -> int:

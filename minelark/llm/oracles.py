@@ -76,4 +76,19 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept FROM judged
 """
 
-ORACLES = {"op6_line_dedup": LINE_DEDUP, "op7_quality_rules": QUALITY}
+_SHINGLES = f"""
+  SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda k: list_slice(w, k, k + 4))
+    WHEN len(w) > 0 THEN [w] ELSE [] END) AS shingle
+  FROM (SELECT id, {WORDS} AS w FROM
+    (SELECT {{id}} AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM {{table}}))"""
+
+DECONTAMINATION = f"""
+WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+sizes AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, count(*)::BIGINT AS n_shared, max(n)::BIGINT AS n_item, count(*) / max(n) AS containment
+FROM d JOIN b ON d.shingle = b.shingle JOIN sizes s ON s.id = b.id
+GROUP BY d.id, b.id HAVING 100 * count(*) >= 75 * max(n)
+"""
+
+ORACLES = {"op2_decontamination": DECONTAMINATION, "op6_line_dedup": LINE_DEDUP, "op7_quality_rules": QUALITY}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minelark.llm import line_dedup, near_dedup, pii, quality, secret_scan, token_counts
+from minelark.llm import decontaminate, line_dedup, mixing, near_dedup, pii, quality, secret_scan, token_counts
 from minelark.llm.spans import span_digests
 
 
@@ -14,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def base_counts(spans: str, kinds: tuple[str, ...]) -> list[Column]:
     """The number ``n_<kind>`` of base spans of each kind."""
 
