@@ -50,9 +50,10 @@ _STATE = "source string, doc_id {}, size bigint, base int, x double, cell bigint
 def rounded_cell(rows: pa.Table, level: int, last: bool, seed: int) -> pa.Table:
     """Round the fractions ``x`` of one cell of a source: all but one get ``take`` 0 or 1, the last one too if ``last``.
 
-    Documents go pairwise, in the order of a hash of their id: mass (size times fraction) moves from one to the other, in
-    a direction drawn so that the expected fractions stay, until one of them is 0 or 1; the other goes on. So the mass
-    of a cell stays as it is, but for the last document of all.
+    Documents go pairwise, the largest first, equal ones in the order of a hash of their id: mass (size times fraction)
+    moves from one to the other, in a direction drawn so that the expected fractions stay, until one of them is 0 or 1;
+    the other goes on. So the mass of a cell stays as it is, but for the last document of all, which this order
+    leaves to be a small one.
     """
     source, cell = rows["source"][0].as_py(), rows["cell"][0].as_py()
     random = np.random.default_rng([seed, level, cell, zlib.crc32(repr(source).encode())])
@@ -88,7 +89,7 @@ def rounded_cell(rows: pa.Table, level: int, last: bool, seed: int) -> pa.Table:
 
 def rounding(level: int, last: bool, seed: int) -> Callable[[pa.Table], pa.Table]:
     def round_cell(rows: pa.Table) -> pa.Table:
-        ordered = rows.sort_by([("_order", "ascending"), ("doc_id", "ascending")])
+        ordered = rows.sort_by([("size", "descending"), ("_order", "ascending"), ("doc_id", "ascending")])
         return rounded_cell(ordered.drop_columns("_order"), level, last, seed)
 
     return round_cell
