@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minelark.llm import decontaminate, line_dedup, mixing, near_dedup, pii, quality, secret_scan, token_counts
+from minelark.llm import decontaminate, line_dedup, mixing, near_dedup, ngram_model, pii, quality, secret_scan, token_counts
 from minelark.llm.spans import span_digests
 
 
@@ -23,6 +23,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return ngram_model.score_documents(table(spark, sf_dir, "documents")).select("doc_id", "held_out", *columns)
+
+
 def base_counts(spans: str, kinds: tuple[str, ...]) -> list[Column]:
     """The number ``n_<kind>`` of base spans of each kind."""
 
