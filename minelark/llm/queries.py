@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minelark.llm import decontaminate, line_dedup, mixing, near_dedup, ngram_model, pii, quality, secret_scan, token_counts
+from minelark.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, ngram_model, pii, quality, secret_scan, token_counts
 from minelark.llm.spans import span_digests
 
 
@@ -28,6 +28,10 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_model.score_documents(table(spark, sf_dir, "documents")).select("doc_id", "held_out", *columns)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def base_counts(spans: str, kinds: tuple[str, ...]) -> list[Column]:
     """The number ``n_<kind>`` of base spans of each kind."""
 
