@@ -122,8 +122,8 @@ def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int)
     return settle(rows.groupBy("v", "chunk").applyInArrow(check, schema))
 
 
-def likely_among(ids: DataFrame, bits: int = FILTER_BITS) -> Column:
-    """A filter of fixed size on ``id``: true for all given ids, and for few others while there are few ids.
+def likely_among(ids: DataFrame, of: Column, bits: int = FILTER_BITS) -> Column:
+    """A filter of fixed size on the ids ``of``: true for all given ids, and for few others while there are few ids.
 
     It only spares a shuffle; an exact join has to follow, whose outcome does not depend on the filter.
     """
@@ -134,8 +134,7 @@ def likely_among(ids: DataFrame, bits: int = FILTER_BITS) -> Column:
             seen[batch.column(0).to_numpy()] = True
         yield pa.record_batch({"bits": pa.array([np.packbits(seen).tobytes()], pa.binary())})
 
-    slot = F.pmod(F.xxhash64("id"), F.lit(bits))
-    parts = ids.select(slot.alias("slot")).coalesce(4).mapInArrow(build, "bits binary").collect()
+    parts = ids.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("slot")).coalesce(4).mapInArrow(build, "bits binary").collect()
     packed = np.zeros(bits // 8, dtype=np.uint8)
     for part in parts:
         packed |= np.frombuffer(part.bits, dtype=np.uint8)
@@ -145,7 +144,7 @@ def likely_among(ids: DataFrame, bits: int = FILTER_BITS) -> Column:
         at = slots.to_numpy()
         return pa.array((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
-    return among(slot)
+    return among(F.pmod(F.xxhash64(of), F.lit(bits)))
 
 
 def least_of(components_: DataFrame, rows: DataFrame, column: str, name: str) -> DataFrame:
@@ -167,7 +166,7 @@ def links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     members = settle(bands.join(centres.drop("last"), "key"))
     stars = settle(members.where("id != centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("shared")))
     needed = settle(stars.select("id").unionByName(stars.select(F.col("centre").alias("id"))).distinct())
-    texts = docs.where(likely_among(needed)).join(needed, "id", "left_semi")
+    texts = docs.where(likely_among(needed, F.col("id"))).join(needed, "id", "left_semi")
     texts = settle(texts.select("id", "text"))
 
     best = stars.groupBy("id").agg(F.max_by("centre", F.struct("shared", (-F.col("centre")).alias("least"))).alias("v"))
