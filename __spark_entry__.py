@@ -336,6 +336,10 @@ def cluster_summary(spark, sf_dir):
 try:  # the operators for training text can be taken out of the library; nothing else needs them
     from minelark.llm.oracles import ORACLES as TEXT_SQL
     from minelark.llm.queries import QUERIES as TEXT_QUERIES
+
+    import corpus_pipeline
+
+    TEXT_QUERIES = {**TEXT_QUERIES, "pipeline": corpus_pipeline.run}
 except ImportError:
     TEXT_QUERIES, TEXT_SQL = {}, {}
 
