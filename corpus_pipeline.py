@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minelark.llm import decontaminate, line_dedup, mixing, near_dedup, quality
+from minelark.llm.texts import quoted
 from minelark.plans.lineage import settle
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # columns that the verdict would replace stay in it
+    row = F.struct(*quoted(docs.columns))  # columns that the verdict would replace stay in it
     return quality.quality(docs.withColumn("_cp_row", row)).where("kept").select("_cp_row.*")
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many of them share; ``n_chars`` follows the text."""
     done = line_dedup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return done.select(*quoted(docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

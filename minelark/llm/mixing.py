@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from minelark.llm.texts import whole, with_columns, words
+from minelark.llm.texts import quoted, whole, with_columns, words
 from minelark.plans.lineage import settle
 
 WEIGHTS = (5, 2, 1)
@@ -140,7 +140,7 @@ def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     ``docs``, so drop a text that is not needed.
     """
     others = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies", "taken")]
-    docs = docs.select(*others, n_words(F.col("text")).alias("size"))
+    docs = docs.select(*quoted(others), n_words(F.col("text")).alias("size"))
     units = settle(docs.groupBy("source", "doc_id").agg(F.sum("size").alias("size")))
     decided = copies(units, seed).withColumnsRenamed({"source": "_mx_a", "doc_id": "_mx_b"})
     of = settle(targets(units.groupBy("source").agg(F.sum("size").alias("source_size")))).withColumnRenamed("source", "_mx_c")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from minelark.llm.components import components
-from minelark.llm.texts import distinct, shingle_sets, slices, whole, with_columns
+from minelark.llm.texts import distinct, quoted, shingle_sets, slices, whole, with_columns
 from minelark.plans.lineage import settle
 
 WORDS = 5
@@ -207,8 +207,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shuffled are prints, band keys and the texts of documents that share a band with another one.
     """
     others = [c for c in docs.columns if c.lower() not in ("text", "n_shingles", "component_id", "kept")]
-    sketched = docs.select(*[F.col(f"`{c}`") for c in others], sketches(whole(F.col("text"))).alias("_nd_s"))
-    sketched = settle(sketched.select(*others, F.col("_nd_s.*")).withColumnsRenamed(
+    sketched = docs.select(*quoted(others), sketches(whole(F.col("text"))).alias("_nd_s"))
+    sketched = settle(sketched.select(*quoted(others), "_nd_s.*").withColumnsRenamed(
         {"n": "_nd_n", "print": "_nd_print", "bands": "_nd_bands", "signature": "_nd_signature"}
     ))
     named = sketched.where("doc_id is not null and _nd_print is not null")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from minelark.llm.texts import mixed, slices, whole, with_columns, word_hashes
+from minelark.llm.texts import mixed, quoted, slices, whole, with_columns, word_hashes
 from minelark.plans.lineage import shared_folder
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -391,7 +391,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     out = held_out(F.col("doc_id"))
     model = train(docs.where(~out).select("text"))
     others = [c for c in docs.columns if c.lower() != "text"]
-    scored = docs.select(*[F.col(f"`{c}`") for c in others], out.alias("_lm_out"), scores(whole(F.col("text")), model).alias("_lm"))
+    scored = docs.select(*quoted(others), out.alias("_lm_out"), scores(whole(F.col("text")), model).alias("_lm"))
     return with_columns(scored, {
         "held_out": F.col("_lm_out"), "n_tokens": F.col("_lm.n_tokens"), "n_known": F.col("_lm.n_known"),
         "train_tokens": F.lit(model.tokens).cast("long"), "base_score": F.col("_lm.base_score"), "score": F.col("_lm.score"),

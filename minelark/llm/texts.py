@@ -36,10 +36,15 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def quoted(names: Sequence[str]) -> list[Column]:
+    """Columns by name, which may hold dots."""
+    return [F.col(f"`{name}`") for name in names]
+
+
 def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns; a column of the input that has one of these names (in any case) gives way."""
     new = {name.lower() for name in columns}
-    old = [F.col(f"`{c}`") for c in df.columns if c.lower() not in new]
+    old = quoted([c for c in df.columns if c.lower() not in new])
     return df.select(*old, *[column.alias(name) for name, column in columns.items()])
 
 
