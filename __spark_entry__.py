@@ -67,11 +67,6 @@ def baskets(spark, sf_dir):
     return B.baskets(load(spark, sf_dir, "conditions"), "PATIENT", "CODE")
 
 
-@query
-def baskets_capped(spark, sf_dir):
-    return B.baskets(load(spark, sf_dir, "conditions"), "PATIENT", "CODE", max_baskets=500)
-
-
 @query
 def item_support(spark, sf_dir):
     return B.item_support(baskets(spark, sf_dir))

@@ -1,29 +1,19 @@
 """Pairing the members of a group without letting one group fill one task.
 
-Groups up to ``hot_rows`` members are paired by an ordinary equi self-join. Larger
-groups are cut into blocks by a hash of the member; two blocks meet in one cell, whose
-size is bounded by the block size whatever the size of the group.
-
-Every function first runs one map-side combined count per key, to learn whether hot
-keys exist at all; only that number reaches the driver. Without any, the plan is the
-plain self-join.
+A group of more than ``hot_rows`` rows is cut into blocks of about ``block_rows``, by a hash of the member; two blocks
+meet in one cell. So a row goes to as many cells as its own group has blocks, one for all but the large groups, and the
+work of a cell is bounded whatever the size of the group. The sizes come from a combined count in the same plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from minelark.plans.lineage import settle
 
 HOT_ROWS = 2000
 BLOCK_ROWS = 1024
-KEYS_PER_CELL = 256
 
 
 def block_of(member: str | Column, blocks: Column) -> Column:
@@ -41,14 +31,30 @@ def spread_over_cells(df: DataFrame, blocks: Column) -> DataFrame:
     )
 
 
-def hot_keys(rows: DataFrame, key: Sequence[str], hot_rows: int) -> tuple[DataFrame, int]:
-    """Keys holding more than ``hot_rows`` rows, with ``_rows``, and their number.
+def cells(rows: DataFrame, key: Sequence[str], hot_rows: int, block_rows: int) -> DataFrame:
+    """Rows with their ``block``, once for each cell ``lo, hi`` of their group; ``_m`` is the member."""
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    blocks = F.when(F.col("_rows") > hot_rows, F.ceil(F.col("_rows") / block_rows)).otherwise(1).cast("int")
+    placed = rows.join(counts, list(key)).withColumn("_blocks", blocks)
+    placed = placed.withColumn("block", block_of("_m", F.col("_blocks")))
+    return spread_over_cells(placed, F.col("_blocks")).drop("_rows", "_blocks")
 
-    At most ``rows / hot_rows`` keys qualify.
+
+def _paired(rows: DataFrame, key: list[str], hot_rows: int, block_rows: int) -> DataFrame:
+    """``key..., _x, _y`` once for any two members of a group, and both weights ``_wx, _wy`` if there are any.
+
+    The pairs are far more than the rows, so the join is a sort-merge one even where a side is small: its partitions can
+    be split, and it spills.
     """
-    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = settle(counts.where(F.col("_rows") > hot_rows))
-    return hot, hot.count()
+    spread, cell = cells(rows, key, hot_rows, block_rows), [*key, "lo", "hi"]
+    names = ("lo", {"_m": "_x", "_w": "_wx"}), ("hi", {"_m": "_y", "_w": "_wy"})
+    left, right = (
+        spread.where(F.col("block") == F.col(at)).select(
+            *cell, *[F.col(c).alias(side[c]) for c in side if c in rows.columns]
+        )
+        for at, side in names
+    )
+    return left.join(right.hint("merge"), cell).where((F.col("lo") < F.col("hi")) | (F.col("_x") < F.col("_y")))
 
 
 def member_pairs(
@@ -58,45 +64,14 @@ def member_pairs(
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``key..., a, b`` with a < b for members sharing a key, in cells of bounded size.
+    """``key..., a, b`` with a < b for members sharing a key.
 
     For callers that need the occurrences themselves, such as the next level of an
     itemset search. Where only totals per pair are wanted, use :func:`pair_totals`.
     """
     key = list(key)
-    rows = rows.select(*key, F.col(member).alias("_m"))
-    hot, n_hot = hot_keys(rows, key, hot_rows)
-    if not n_hot:
-        return _self_join(rows, key).select(*key, F.col("_x").alias("a"), F.col("_y").alias("b"))
-    placed = rows.join(hot, key, "left").withColumn(
-        "_blocks", F.ceil(F.coalesce("_rows", F.lit(1)) / block_rows).cast("int")
-    )
-    placed = placed.withColumn("_blocks", F.when(F.col("_rows").isNull(), 1).otherwise(F.col("_blocks")))
-    placed = placed.withColumn("block", block_of("_m", F.col("_blocks")))
-    cells = spread_over_cells(placed, F.col("_blocks")).select(*key, "lo", "hi", "block", "_m")
-    cell = [*key, "lo", "hi"]
-    left = cells.where("block = lo").select(*cell, F.col("_m").alias("_x"))
-    right = cells.where("block = hi").select(*cell, F.col("_m").alias("_y"))
-    return (
-        left.join(right, cell)
-        .where((F.col("lo") < F.col("hi")) | (F.col("_x") < F.col("_y")))
-        .select(*key, F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
-    )
-
-
-def _self_join(rows: DataFrame, key: list[str]) -> DataFrame:
-    """``key..., _x, _y`` with _x < _y, and both weights as ``_wx`` and ``_wy`` if there are any.
-
-    The result is far larger than the input, so the rows are spread over all shuffle
-    partitions: a small input would else be joined, by broadcast, in a task per input file.
-    """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(partitions, *key)
-    names = {"_m": "_x", "_w": "_wx"}, {"_m": "_y", "_w": "_wy"}
-    left, right = (
-        rows.select(*key, *[F.col(c).alias(side[c]) for c in side if c in rows.columns]) for side in names
-    )
-    return left.join(right, key).where(F.col("_x") < F.col("_y"))
+    pairs = _paired(rows.select(*key, F.col(member).alias("_m")), key, hot_rows, block_rows)
+    return pairs.select(*key, F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
 
 
 def pair_totals(
@@ -108,34 +83,24 @@ def pair_totals(
     without: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
-    keys_per_cell: int = KEYS_PER_CELL,
 ) -> DataFrame:
     """Per pair of members a < b: the number ``n`` of keys holding both.
 
-    With ``weight`` also ``dot``, the sum over those keys of the product of both weights.
+    With ``weight`` also ``dot``, the sum over those keys of the product of both weights; a product with a null weight
+    is left out, and ``dot`` is null where no product is left.
     ``by`` names key columns kept in the result. ``rows`` holds each (key, member) once.
     Pairs ``a, b`` listed in ``without`` are left out: they join the same aggregate as rows
     with a count of 0, which needs neither another shuffle nor a sort of the pairs.
 
-    Keys up to ``hot_rows`` members go through a self-join that feeds a partial aggregate.
-    The members of larger keys form a key x member matrix that is multiplied block by
-    block: a cell holds about ``block_rows`` members on each side and ``keys_per_cell``
-    keys, and reports each pair once for all its keys.
+    The pairs feed a partial aggregate, whatever the size of their group.
     """
     key, by = list(key), list(by)
     weights = [F.col(weight).cast("double").alias("_w")] if weight else []
     rows = rows.where(F.col(member).isNotNull()).select(*key, F.col(member).alias("_m"), *weights)
-    hot, n_hot = hot_keys(rows, key, hot_rows)
-    hot = hot.select(*key)
-    parts = _self_join(rows.join(hot, key, "left_anti") if n_hot else rows, key).select(
-        *by, F.col("_x").alias("a"), F.col("_y").alias("b"), F.lit(1).cast("long").alias("n"),
+    parts = _paired(rows, key, hot_rows, block_rows).select(
+        *by, F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), F.lit(1).cast("long").alias("n"),
         *([(F.col("_wx") * F.col("_wy")).alias("dot")] if weight else []),
     )
-    if n_hot:
-        hot_part = settle(rows.join(hot, key, "left_semi"))
-        parts = parts.unionByName(
-            _blocked_products(hot_part, n_hot, key, by, block_rows, keys_per_cell)
-        )
     totals = [F.sum("n").alias("n")] + ([F.sum("dot").alias("dot")] if weight else [])
     if without is None:
         return parts.groupBy(*by, "a", "b").agg(*totals)
@@ -143,56 +108,3 @@ def pair_totals(
     parts = parts.unionByName(barred, allowMissingColumns=True)
     least = F.min("n").alias("_least")
     return parts.groupBy(*by, "a", "b").agg(*totals, least).where("_least > 0").drop("_least")
-
-
-def _blocked_products(
-    rows: DataFrame, n_keys: int, key: list[str], by: list[str], block_rows: int, keys_per_cell: int
-) -> DataFrame:
-    weighted = "_w" in rows.columns
-    members = rows.agg(F.approx_count_distinct("_m")).first()[0]
-    blocks = F.lit(max(1, -(-members // block_rows)))
-    chunks = F.lit(max(1, -(-n_keys // keys_per_cell)))
-    placed = rows.select(
-        *by,
-        F.to_json(F.struct(*key)).alias("_k"),
-        *[c for c in ("_m", "_w") if c in rows.columns],
-        block_of("_m", blocks).alias("block"),
-    ).withColumn("_chunk", block_of("_k", chunks))
-    cells = spread_over_cells(placed, blocks)
-    member_type = rows.schema["_m"].dataType
-    schema = T.StructType(
-        [rows.schema[c] for c in by]
-        + [T.StructField("a", member_type), T.StructField("b", member_type), T.StructField("n", T.LongType())]
-        + ([T.StructField("dot", T.DoubleType())] if weighted else [])
-    )
-
-    def multiply(cell: pd.DataFrame) -> pd.DataFrame:
-        column, keys = pd.factorize(cell["_k"])
-        sides = []
-        for side in ("lo", "hi"):
-            here = (cell["block"] == cell[side]).to_numpy()
-            names, row = np.unique(cell["_m"].to_numpy()[here], return_inverse=True)
-            present = np.zeros((len(names), len(keys)))
-            present[row, column[here]] = 1.0
-            amount = present
-            if weighted:
-                amount = np.zeros_like(present)
-                amount[row, column[here]] = cell["_w"].to_numpy()[here]
-            sides.append((names, present, amount))
-        (x, px, wx), (y, py, wy) = sides
-        n = px @ py.T
-        i, j = np.nonzero(n)
-        if cell["lo"].iat[0] == cell["hi"].iat[0]:
-            i, j = i[i < j], j[i < j]
-        swap = x[i] > y[j]
-        out = {c: cell[c].iat[0] for c in by}
-        out |= {
-            "a": np.where(swap, y[j], x[i]),
-            "b": np.where(swap, x[i], y[j]),
-            "n": n[i, j].astype("int64"),
-        }
-        if weighted:
-            out["dot"] = (wx @ wy.T)[i, j]
-        return pd.DataFrame(out, columns=schema.names)
-
-    return cells.groupBy(*by, "_chunk", "lo", "hi").applyInPandas(multiply, schema)

@@ -142,9 +142,6 @@ def oracle_sql() -> dict[str, str]:
             WITH {PAIRS} SELECT "user" || chr(9) || string_agg(suggested::VARCHAR, ', ' ORDER BY rank) AS value
             FROM ranked WHERE rank <= 10 GROUP BY "user" """,
         "baskets": f"SELECT DISTINCT PATIENT AS basket, CODE AS item FROM ({CONDITIONS})",
-        "baskets_capped": f"""
-            WITH {BASKETS} SELECT basket, item FROM b
-            WHERE basket IN (SELECT DISTINCT basket FROM b ORDER BY basket LIMIT 500)""",
         "item_support": f"WITH {BASKETS} SELECT item, n FROM support",
         "frequent_items": f"WITH {BASKETS} SELECT item, n FROM items",
         "infrequent_items": f"WITH {BASKETS} SELECT item, n FROM support WHERE item IS NOT NULL AND n < 1000",

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from minelark.plans.skew import member_pairs, pair_totals
+from minelark.plans.skew import cells, member_pairs, pair_totals
 
 
 def skewed(seed, hot_share=0.4, n=400):
@@ -27,11 +27,11 @@ def brute(cells):
     return {p: (n[p], dot[p]) for p in n}
 
 
-@pytest.mark.parametrize("hot_rows,block_rows,keys_per_cell", [(1000, 64, 4), (50, 32, 4), (3, 40, 5)])
-def test_pair_totals(spark, hot_rows, block_rows, keys_per_cell):
+@pytest.mark.parametrize("hot_rows,block_rows", [(1000, 64), (50, 32), (3, 7)])
+def test_pair_totals(spark, hot_rows, block_rows):
     cells = skewed(hot_rows)
     df = spark.createDataFrame(cells, "k long, m long, w double")
-    got = pair_totals(df, ["k"], "m", "w", hot_rows=hot_rows, block_rows=block_rows, keys_per_cell=keys_per_cell)
+    got = pair_totals(df, ["k"], "m", "w", hot_rows=hot_rows, block_rows=block_rows)
     assert {(r.a, r.b): (r.n, r.dot) for r in got.collect()} == brute(cells)
 
 
@@ -54,3 +54,22 @@ def test_compound_key_kept_in_the_result(spark):
             for b, p, x in cells for b2, p2, y in cells if (b, p) == (b2, p2) and str(x) < str(y)
         )
         assert {(r.p, r.a, r.b): r.n for r in got} == dict(want)
+
+
+def test_null_weights(spark):
+    """A product with a null weight counts as a common key, but adds nothing."""
+    rows = [(k, m, None if (k + m) % 4 == 0 or m == 3 else float(k + m)) for k in range(3) for m in range(9)]
+    df = spark.createDataFrame(rows, "k long, m long, w double")
+    got = [
+        {(r.a, r.b): (r.n, r.dot) for r in pair_totals(df, ["k"], "m", "w", hot_rows=h, block_rows=4).collect()}
+        for h in (2, 1000)
+    ]
+    assert got[0] == got[1] and got[0][3, 5] == (3, None) and got[0][1, 2] == (3, 14.0 * 0 + 2.0 + 6.0)
+
+
+def test_copies_follow_the_size_of_the_own_group(spark):
+    """Rows of a group of 200 go to 10 cells each, rows of small groups to one, however many large groups there are."""
+    rows = [(k, m) for k in range(5) for m in range(200)] + [(k, m) for k in range(5, 50) for m in range(10)]
+    spread = cells(spark.createDataFrame(rows, "k long, _m long"), ["k"], hot_rows=100, block_rows=20)
+    copies = Counter((r.k, r["_m"]) for r in spread.collect())
+    assert {copies[k, m] for k, m in rows if k < 5} == {10} and {copies[k, m] for k, m in rows if k >= 5} == {1}
