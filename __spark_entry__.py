@@ -59,6 +59,22 @@ def friend_suggestion_lines(spark, sf_dir):
     return L.suggestion_lines(friend_suggestions_topn(spark, sf_dir))
 
 
+def suggested_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From text lines to scored suggestions."""
+    edges = settle(L.friend_edges(L.parse_adjacency(load(spark, sf_dir, "friend_lines"))))
+    return L.suggestions(L.common_neighbour_pairs(edges))
+
+
+@query
+def friend_suggestions_all(spark, sf_dir):
+    return L.rank_all(suggested_from_lines(spark, sf_dir))
+
+
+@query
+def friend_suggestion_lines_all(spark, sf_dir):
+    return L.suggestion_lines(L.rank_all(suggested_from_lines(spark, sf_dir)), ids_per_line=20)
+
+
 # baskets
 
 
@@ -245,11 +261,18 @@ def user_similarity_dimsum(spark, sf_dir):
     return rounded(S.sampled_user_similarity(stored_ratings(spark, sf_dir), 0.05), 4, "sim")
 
 
+@query
+def nearest_items(spark, sf_dir):
+    return S.nearest_items(rounded(S.item_similarity(stored_ratings(spark, sf_dir)), 6, "sim"), 10)
+
+
 @query
 def predicted_ratings(spark, sf_dir):
+    """For each rating, the same user's unrated cell of the next item."""
     ratings = stored_ratings(spark, sf_dir)
-    nearest = S.nearest_items(rounded(S.item_similarity(ratings), 6, "sim"), 10)
-    predicted = S.with_titles(S.predict(ratings, nearest), load(spark, sf_dir, "movies"))
+    wanted = ratings.select("user_id", (F.col("item_id") + 1).alias("item_id"))
+    sims = rounded(S.item_similarity(ratings), 6, "sim")
+    predicted = S.with_titles(S.predict(ratings, sims, wanted, 10), load(spark, sf_dir, "movies"))
     return rounded(predicted, 4, "predicted")
 
 

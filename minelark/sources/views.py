@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("lineitem", "orders", "supplier", "part", "events", "documents", "embeddings")
 
 VIEWS = {
-    # a customer's friend list is the set of parts it ordered
+    # parts returned together in one order are friends of each other
     "edges": """
-        SELECT DISTINCT o_custkey AS src, l_partkey AS dst
-        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-        WHERE o_custkey <> l_partkey""",
+        SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst
+        FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey
+        WHERE a.l_partkey <> b.l_partkey AND a.l_returnflag = 'R' AND b.l_returnflag = 'R'
+          AND a.l_linestatus = 'F' AND b.l_linestatus = 'F'""",
+    # the same as text, one friend a line
+    "friend_lines": """
+        SELECT concat(CAST(src AS STRING), chr(9), CAST(dst AS STRING)) AS value FROM (
+        SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst
+        FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey
+        WHERE a.l_partkey <> b.l_partkey AND a.l_returnflag = 'R' AND b.l_returnflag = 'R'
+          AND a.l_linestatus = 'F' AND b.l_linestatus = 'F')""",
     # first line items give a user without friends, the others two friends
     "adjacency_lines": """
         SELECT CASE WHEN l_linenumber = 1 THEN CAST(l_orderkey AS STRING)

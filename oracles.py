@@ -141,6 +141,11 @@ def oracle_sql() -> dict[str, str]:
         "friend_suggestion_lines": f"""
             WITH {PAIRS} SELECT "user" || chr(9) || string_agg(suggested::VARCHAR, ', ' ORDER BY rank) AS value
             FROM ranked WHERE rank <= 10 GROUP BY "user" """,
+        "friend_suggestions_all": f"""
+            WITH {PAIRS} SELECT "user", rank, suggested, score FROM ranked""",
+        "friend_suggestion_lines_all": f"""
+            WITH {PAIRS} SELECT "user" || chr(9) || string_agg(suggested::VARCHAR, ', ' ORDER BY rank) AS value
+            FROM ranked GROUP BY "user", (rank - 1) // 20""",
         "baskets": f"SELECT DISTINCT PATIENT AS basket, CODE AS item FROM ({CONDITIONS})",
         "item_support": f"WITH {BASKETS} SELECT item, n FROM support",
         "frequent_items": f"WITH {BASKETS} SELECT item, n FROM items",
@@ -212,17 +217,24 @@ def oracle_sql() -> dict[str, str]:
                       FROM r, (SELECT count(DISTINCT user_id) AS nu FROM r) GROUP BY user_id, nu),
             kept AS (SELECT user_id, item_id, rating / least(1, p) AS rating FROM r JOIN norms USING (user_id)
                      WHERE {DRAW} < least(1, p)), {_user_sims('kept')}""",
-        "predicted_ratings": f"""
-            WITH {ITEM_SIMS},
-            near AS (SELECT * FROM (
+        "nearest_items": f"""
+            WITH {ITEM_SIMS}
+            SELECT item_id, neighbour, sim FROM (
               SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY sim DESC, neighbour) AS rank
               FROM (SELECT i AS item_id, j AS neighbour, sim FROM sims UNION ALL SELECT j, i, sim FROM sims))
-              WHERE rank <= 10),
-            scores AS (SELECT user_id, near.item_id, sum(sim * rating) AS s, sum(abs(sim)) AS w
-                       FROM r JOIN near ON r.item_id = neighbour GROUP BY user_id, near.item_id)
+            WHERE rank <= 10""",
+        "predicted_ratings": f"""
+            WITH {ITEM_SIMS},
+            both_ways AS (SELECT i AS item_id, j AS neighbour, sim FROM sims UNION ALL SELECT j, i, sim FROM sims),
+            wanted AS (SELECT user_id, item_id + 1 AS item_id FROM r EXCEPT SELECT user_id, item_id FROM r),
+            ranked AS (SELECT w.user_id, w.item_id, sim, rating,
+                              row_number() OVER (PARTITION BY w.user_id, w.item_id ORDER BY sim DESC, neighbour) AS rank
+                       FROM wanted w JOIN both_ways b ON b.item_id = w.item_id
+                       JOIN r ON r.user_id = w.user_id AND r.item_id = b.neighbour),
+            scores AS (SELECT user_id, item_id, sum(sim * rating) AS s, sum(abs(sim)) AS w
+                       FROM ranked WHERE rank <= 10 GROUP BY user_id, item_id)
             SELECT user_id, item_id, round(s / w, 4) AS predicted, p_name AS title
-            FROM scores JOIN part ON p_partkey = item_id
-            WHERE w > 0 AND NOT EXISTS (SELECT 1 FROM r WHERE r.user_id = scores.user_id AND r.item_id = scores.item_id)""",
+            FROM scores JOIN part ON p_partkey = item_id WHERE w > 0""",
         "subset_semi_join": f"SELECT id FROM ({VECTORS}) WHERE cluster < 5",
         "feature_slice": f"""
             SELECT id, len(features[4:20]) AS width, round(list_sum(features[4:20]), 4) AS total FROM ({VECTORS})""",
