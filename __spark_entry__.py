@@ -49,6 +49,12 @@ def common_neighbour_pairs(spark, sf_dir):
     return L.common_neighbour_pairs(settle(load(spark, sf_dir, "edges")))
 
 
+@query
+def common_neighbour_pairs_split(spark, sf_dir):
+    """The same with groups of more than 20 cut into blocks."""
+    return L.common_neighbour_pairs(settle(load(spark, sf_dir, "edges")), hot_rows=20)
+
+
 @query
 def friend_suggestions_topn(spark, sf_dir):
     return L.ranked_suggestions(L.suggestions(common_neighbour_pairs(spark, sf_dir)), 10)
@@ -119,6 +125,19 @@ def frequent_pairs(spark, sf_dir):
     return B.frequent_pairs(rows, items)
 
 
+@query
+def frequent_pairs_split(spark, sf_dir):
+    rows, _, items = mined(spark, sf_dir)
+    return B.frequent_pairs(rows, items, hot_rows=20)
+
+
+@query
+def frequent_triples_pruned(spark, sf_dir):
+    """Triples held by two baskets, from pairs held by two: rarer ones are left out level by level."""
+    rows, _, items = mined(spark, sf_dir)
+    return B.frequent_itemsets(rows, items, 3, min_support=2).withColumnsRenamed({"i1": "i", "i2": "j", "i3": "z"})
+
+
 @query
 def ordered_pairs(spark, sf_dir):
     rows, _, items = mined(spark, sf_dir)
@@ -251,6 +270,11 @@ def item_similarity(spark, sf_dir):
     return rounded(S.item_similarity(stored_ratings(spark, sf_dir)), 6, "sim")
 
 
+@query
+def item_similarity_split(spark, sf_dir):
+    return rounded(S.item_similarity(stored_ratings(spark, sf_dir), hot_rows=20), 6, "sim")
+
+
 @query
 def user_similarity(spark, sf_dir):
     return rounded(S.user_similarity(stored_ratings(spark, sf_dir)), 4, "sim")

@@ -136,6 +136,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT f, unnest(CASE WHEN len(f) > 1 THEN string_split(f[2], ',') ELSE ['-1'] END) AS friend
                   FROM lines)""",
         "common_neighbour_pairs": f"WITH {PAIRS} SELECT a, b, score FROM pairs",
+        "common_neighbour_pairs_split": f"WITH {PAIRS} SELECT a, b, score FROM pairs",
         "friend_suggestions_topn": f"""
             WITH {PAIRS} SELECT "user", rank::INTEGER AS rank, suggested, score FROM ranked WHERE rank <= 10""",
         "friend_suggestion_lines": f"""
@@ -151,6 +152,8 @@ def oracle_sql() -> dict[str, str]:
         "frequent_items": f"WITH {BASKETS} SELECT item, n FROM items",
         "infrequent_items": f"WITH {BASKETS} SELECT item, n FROM support WHERE item IS NOT NULL AND n < 1000",
         "frequent_pairs": f"WITH {BASKETS} SELECT i, j, n FROM p",
+        "frequent_pairs_split": f"WITH {BASKETS} SELECT i, j, n FROM p",
+        "frequent_triples_pruned": f"WITH {BASKETS}, {TRIPLES} SELECT i, j, z, n FROM t WHERE n >= 2",
         "ordered_pairs": f"WITH {BASKETS}, {LITERAL_PAIRS} SELECT i, j, n FROM lp",
         "frequent_triples_top10": f"""
             WITH {BASKETS}, {TRIPLES} SELECT i, j, z, n FROM t ORDER BY n DESC, i, j, z LIMIT 10""",
@@ -210,6 +213,7 @@ def oracle_sql() -> dict[str, str]:
             WITH {TO_ITEM} SELECT count(*) FILTER (sim < 0) AS negative_count,
             count(*) FILTER (NOT coalesce(sim < 0, false)) AS positive_count FROM sims""",
         "item_similarity": f"WITH {ITEM_SIMS} SELECT i, j, sim FROM sims",
+        "item_similarity_split": f"WITH {ITEM_SIMS} SELECT i, j, sim FROM sims",
         "user_similarity": f"WITH {USER_TERMS}, {_user_sims('r')}",
         "user_similarity_dimsum": f"""
             WITH {USER_TERMS},
