@@ -20,7 +20,8 @@ PERCENT = 75
 BANDS = 36
 ROWS = 4
 CHECK_DEVIATIONS = 6
-CHUNK = 500
+CHUNK = 200
+STRAYS, MEMBERS = 256, 1024
 FILTER_BITS = 1 << 24
 
 _RANDOM = np.random.default_rng(7)
@@ -122,6 +123,60 @@ def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int)
     return settle(rows.groupBy("v", "chunk").applyInArrow(check, schema))
 
 
+def links_between(strays: list[tuple], others: list[tuple], percent: int) -> list[tuple]:
+    """``u, v`` of similar texts of different parts, one for each stray and part; both lists hold (id, part, set).
+
+    An index from the shingles of the others to their places counts what a stray shares with all of them at once.
+    """
+    if not others:
+        return []
+    shingles = np.concatenate([s for *_, s in others])
+    order = np.argsort(shingles)
+    lengths = np.array([len(s) for *_, s in others])
+    owners, shingles = np.repeat(np.arange(len(others)), lengths)[order], shingles[order]
+    found = []
+    for id_, part, own in strays:
+        first, last = (np.searchsorted(shingles, own, side) for side in ("left", "right"))
+        n = last - first
+        places = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        shared = np.bincount(owners[places], minlength=len(others))
+        hits = np.flatnonzero(100 * shared >= percent * (len(own) + lengths - shared))
+        least = {others[k][1]: others[k][0] for k in hits[::-1].tolist() if others[k][1] != part}
+        found += [(id_, other) for other in least.values()]
+    return found
+
+
+def links_across(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one group, ``main``, that are of different parts; ``rows`` has ``main, id, part``.
+
+    A group has one large part, and strays of other parts: only these are compared, with all members, in cells of about
+    ``STRAYS`` by ``MEMBERS`` texts. So a group costs its strays times its members, and hardly any rows that travel.
+    """
+    strays = rows.where("part != main")
+    size = rows.groupBy("main").agg(
+        F.ceil(F.count_if(F.expr("part != main")) / STRAYS).alias("across"), F.ceil(F.count(F.lit(1)) / MEMBERS).alias("down")
+    )
+
+    def placed(some: DataFrame, own: str, other: str, stray: bool) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(f"at_{other}")
+        at = F.pmod(F.xxhash64("id"), F.col(own)).alias(f"at_{own}")
+        return some.join(size, "main").select("main", "id", "part", F.lit(stray).alias("stray"), at, every)
+
+    cells = placed(strays, "across", "down", True).unionByName(placed(rows, "down", "across", False))
+    kind = dict(rows.dtypes)["id"]
+
+    def compare(table: pa.Table) -> pa.Table:
+        sets = [s for part in table["text"].chunks for some in slices(part) for s in shingle_sets(some, WORDS)]
+        every = list(zip(table["id"].to_pylist(), table["part"].to_pylist(), sets, table["stray"].to_pylist()))
+        some, others = ([row[:3] for row in sorted(every, key=lambda r: r[0]) if row[3] == side] for side in (True, False))
+        found = links_between(some, others, percent)
+        return pa.table({c: pa.array([pair[k] for pair in found], id_type) for k, c in enumerate("uv")})
+
+    id_type = pa.string() if kind == "string" else pa.int64()
+    cell = ("main", "at_across", "at_down")
+    return settle(cells.join(texts, "id").groupBy(*cell).applyInArrow(compare, f"u {kind}, v {kind}"))
+
+
 def likely_among(ids: DataFrame, of: Column, bits: int = FILTER_BITS) -> Column:
     """A filter of fixed size on the ids ``of``: true for all given ids, and for few others while there are few ids.
 
@@ -157,9 +212,10 @@ def links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The components of the similar representatives, as ``u, v`` (see :func:`components`).
 
     Representatives that share a band meet in a bucket. Each is first checked with one centre, the least of the bucket
-    it shares most bands with; then with its other centres that are not yet in its component; at last with all members
-    of its buckets that are in another component. So every pair that shares a band is checked, unless it is already
-    known to be connected: copies of one text cost one check each, not one per pair.
+    it shares most bands with; then with its other centres that are not yet in its component. A bucket that still has
+    members of several components has a main one, of most members; the others in it are strays of the main one, and
+    are compared with everything that met it. So every pair that shares a band is checked, unless it is already known to
+    be connected: copies of one text cost one check each, not one per pair.
     """
     bands = reps.select("id", F.explode("bands").alias("key"))
     centres = bands.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
@@ -182,12 +238,7 @@ def links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     split = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
     split = settle(split.where("parts > 1").select("key", "main"))
-    open_ = settle(placed.join(split, "key"))
-    strays = open_.where("part != main").select("key", F.col("id").alias("a"), F.col("part").alias("pa"))
-    every = open_.select("key", F.col("id").alias("b"), F.col("part").alias("pb"))
-    across = strays.join(every, "key").where("pa != pb").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    checked = stars.select(F.col("id").alias("u"), F.col("centre").alias("v"))
-    last = confirmed(across.distinct().join(checked, ["u", "v"], "left_anti"), reps, texts, percent)
+    last = links_across(settle(placed.join(split, "key").select("main", "id", "part").distinct()), texts, percent)
     return components(known.unionByName(last))
 
 
