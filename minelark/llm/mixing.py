@@ -15,7 +15,7 @@ from minelark.plans.lineage import settle
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-CELL = 20_000
+CELL = 2_000
 FAN = 64
 
 
