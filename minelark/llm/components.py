@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minelark.plans.lineage import settle
+from minelark.plans.lineage import release, settle
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -36,5 +36,6 @@ def components(edges: DataFrame) -> DataFrame:
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before or now[0] == 0:
             return edges
-        before = now
-        edges = settle(small_star(large_star(edges)))
+        before, last = now, edges
+        edges = settle(small_star(large_star(last)))
+        release(last)
