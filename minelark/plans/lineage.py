@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -11,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables.
 
-    The folder named by the cluster (``spark.checkpoint.dir``) always wins. Only a
-    local-mode session without one gets a temporary folder; on a cluster a missing
-    setting is an error, because a machine-local folder would not survive an executor.
+    The folder named by the cluster (``spark.checkpoint.dir``, or ``setCheckpointDir``) always
+    wins. Only a session in one process without one gets a temporary folder; on a cluster a
+    missing setting is an error, because a machine-local folder would not survive an executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="minelark-")
         spark.conf.set("spark.checkpoint.dir", configured)
@@ -36,4 +37,13 @@ def settle(df: DataFrame) -> DataFrame:
     run = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/minelark/{run}/{uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._settled_at = path
+    return stored
+
+
+def release(stored: DataFrame) -> None:
+    """Delete a table that :func:`settle` stored, once nothing will read it: for rounds of a loop."""
+    session = stored.sparkSession
+    path = session._jvm.org.apache.hadoop.fs.Path(stored._settled_at)
+    path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
