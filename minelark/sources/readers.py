@@ -40,8 +40,11 @@ def read_conditions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONDITIONS).csv(path, header=True)
 
 
-def read_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A CSV with header as strings; a repeated column name gets ``.1``, ``.2``, ... in order."""
+def read_table(spark: SparkSession, path: str, sep: str = ",", types: dict[str, str] | None = None) -> DataFrame:
+    """A CSV with header as strings; a repeated column name gets ``.1``, ``.2``, ... in order.
+
+    ``types`` gives columns, by these names, a type; values that do not fit become null.
+    """
     header = spark.read.csv(path, header=False, sep=sep).first()
     seen: Counter[str] = Counter()
     fields = []
@@ -49,7 +52,8 @@ def read_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
         name = name if name is not None else f"Unnamed: {position}"
         fields.append(T.StructField(f"{name}.{seen[name]}" if seen[name] else name, T.StringType()))
         seen[name] += 1
-    return spark.read.schema(T.StructType(fields)).csv(path, header=True, sep=sep)
+    rows = spark.read.schema(T.StructType(fields)).csv(path, header=True, sep=sep)
+    return rows.withColumns({name: F.col(f"`{name}`").try_cast(kind) for name, kind in (types or {}).items()})
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
