@@ -32,8 +32,11 @@ def spread_over_cells(df: DataFrame, blocks: Column) -> DataFrame:
 
 
 def cells(rows: DataFrame, key: Sequence[str], hot_rows: int, block_rows: int) -> DataFrame:
-    """Rows with their ``block``, once for each cell ``lo, hi`` of their group; ``_m`` is the member."""
-    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    """Rows with their ``block``, once for each cell ``lo, hi`` of their group; ``_m`` is the member.
+
+    Groups of one row pair nothing and are left out.
+    """
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     blocks = F.when(F.col("_rows") > hot_rows, F.ceil(F.col("_rows") / block_rows)).otherwise(1).cast("int")
     placed = rows.join(counts, list(key)).withColumn("_blocks", blocks)
     placed = placed.withColumn("block", block_of("_m", F.col("_blocks")))
