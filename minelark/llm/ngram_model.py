@@ -29,9 +29,9 @@ from minelark.llm.texts import mixed, quoted, slices, whole, with_columns, word_
 from minelark.plans.lineage import shared_folder
 
 END = np.uint64(0x5851F42D4C957F2D)
-CHUNK_TOKENS = 2_000_000
-SHARD_TOKENS = 2_000_000
-BLOCK_BITS = 20
+CHUNK_TOKENS = 1_000_000
+SHARD_TOKENS = 1_000_000
+BLOCK_BITS = 16
 FALLBACK = (0.5, 1.0, 1.5)  # discounts where the counts of counts give none
 _LOW = np.uint64(0xFFFFFFFF)
 _INVERSE = tuple(np.uint64(pow(m, -1, 2**64)) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -240,7 +240,7 @@ def pair_hashes(tokens: np.ndarray, counts: np.ndarray, vocabulary: int) -> tupl
 def train(texts: DataFrame) -> Model:
     """Count a model over the whole column ``text``.
 
-    Two passes: words, then pairs of ids. Each task counts chunks of two million tokens and sends sorted, packed shards;
+    Two passes: words, then pairs of ids. Each task counts chunks of a million tokens and sends sorted, packed shards;
     a shard is merged by one task, which writes it. Only sizes and totals reach the driver.
     """
     spark = texts.sparkSession
