@@ -361,7 +361,7 @@ def inter_cluster_distance(spark, sf_dir):
 
 @query
 def ward_merges(spark, sf_dir):
-    return C.ward_merges(load(spark, sf_dir, "vectors"))
+    return rounded(C.ward_merges(load(spark, sf_dir, "vectors")).drop("round"), 4, "height")
 
 
 @query

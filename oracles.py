@@ -119,6 +119,22 @@ pd AS (SELECT x.cluster, max(list_distance(x.features, y.features)) AS diameter,
        FROM w x JOIN w y ON x.cluster = y.cluster AND x.id < y.id GROUP BY x.cluster)"""
 
 
+# one merge a step over all clusters left; a cluster is named by its lowest id
+WARD = f"""
+v AS ({VECTORS}),
+steps AS (
+  SELECT 0 AS step, id AS cid, 1::BIGINT AS n, features AS c, NULL::BIGINT AS "left", NULL::BIGINT AS "right", NULL::DOUBLE AS height
+  FROM v
+  UNION ALL
+  SELECT s.step + 1, s.cid, CASE WHEN s.cid = b.l THEN s.n + y.n ELSE s.n END,
+         CASE WHEN s.cid = b.l THEN list_transform(list_zip(s.c, y.c), lambda p: (p[1] * s.n + p[2] * y.n) / (s.n + y.n)) ELSE s.c END,
+         b.l, b.r, b.h
+  FROM (SELECT x.cid AS l, y.cid AS r, sqrt(2 * x.n * y.n / (x.n + y.n)) * list_distance(x.c, y.c) AS h
+        FROM steps x JOIN steps y ON x.cid < y.cid ORDER BY h, l, r LIMIT 1) b
+  JOIN steps y ON y.cid = b.r JOIN steps s ON s.cid <> b.r),
+merges AS MATERIALIZED (SELECT "left", "right", height, n AS size, step FROM steps WHERE cid = "left")"""
+
+
 RULES = f"""
 r AS (SELECT i AS antecedent, j AS consequent, n AS support FROM p
       UNION ALL SELECT j, i, n FROM p),
@@ -270,6 +286,13 @@ def oracle_sql() -> dict[str, str]:
                   FROM v x, v y GROUP BY x.cluster, y.cluster)
             SELECT cluster_i, cluster_j, round(d, 4) AS mean_distance,
                    round(d / (SELECT max(d) FROM m), 4) AS relative FROM m""",
+        "ward_merges": f"""
+            WITH RECURSIVE {WARD} SELECT "left", "right", round(height, 4) AS height, size FROM merges""",
+        "ward_cut_k6": f"""
+            WITH RECURSIVE {WARD},
+            kept AS MATERIALIZED (SELECT "left", "right" FROM merges ORDER BY height DESC, step DESC OFFSET 5),
+            up AS (SELECT id, id AS cluster FROM v UNION ALL SELECT id, "left" FROM up JOIN kept ON cluster = "right")
+            SELECT id, min(cluster) AS cluster FROM up GROUP BY id""",
         "cluster_summary": f"""
             SELECT id, round(features[1], 4) AS first_feature, round(features[64], 4) AS last_feature, cluster
             FROM ({VECTORS})""",
