@@ -221,6 +221,8 @@ def links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     centres = bands.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
     members = settle(bands.join(centres.drop("last"), "key"))
     stars = settle(members.where("id != centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("shared")))
+    if stars.isEmpty():  # no two share a band
+        return stars.select(F.col("id").alias("u"), F.col("centre").alias("v"))
     needed = settle(stars.select("id").unionByName(stars.select(F.col("centre").alias("id"))).distinct())
     texts = docs.where(likely_among(needed, F.col("id"))).join(needed, "id", "left_semi")
     texts = settle(texts.select("id", "text"))
@@ -238,6 +240,8 @@ def links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     split = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
     split = settle(split.where("parts > 1").select("key", "main"))
+    if split.isEmpty():
+        return known
     last = links_across(settle(placed.join(split, "key").select("main", "id", "part").distinct()), texts, percent)
     return components(known.unionByName(last))
 
