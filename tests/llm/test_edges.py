@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names."""
 
+import re
+
 import public_tokenizers
 import pytest
 
@@ -251,6 +253,28 @@ def test_html_template(spark):
     assert done.to_dict() == {k: f"Title {k}\n\nBody of story {k}, which is long enough to be it." for k in range(12)}
 
 
+DIV_LAYOUTS = {
+    "headline and lead outside the body": "<div class='post'><h1>Title {k}</h1><p>Lead of {k}</p><div class='entry'><p>{long}</p></div></div>",
+    "intro and outro": "<div class='text'><div class='intro'><p>Title {k}</p></div><div class='body'><p>{long}</p></div><div class='outro'><p>End of {k}</p></div></div>",
+    "articles of two keys": "<article class='lead'><p>Title {k}</p></article><div class='gap'></div><article class='more'><p>{long}</p></article><article class='last'><p>End of {k}</p></article>",
+    "articles in divs": "<div class='a'><article><header><h1>Title {k}</h1></header></article></div><div class='b'><article><p>{long}</p></article></div>",
+}
+
+
+@pytest.mark.parametrize("layout", sorted(DIV_LAYOUTS))
+def test_html_whole_article(spark, layout):
+    """What varies outside the largest container or article is content too."""
+    long, want = "{k} is told at length, " * 20, []
+    rows = []
+    for k in range(12):
+        body = DIV_LAYOUTS[layout].format(k=k, long=long.format(k=k))
+        rows.append((k, "http://host.example/x", f"<html><body><div class='top'><p>Welcome</p></div><div id='page'>{body}</div><div class='low'><p>All rights</p></div></body></html>"))
+        want.append([" ".join(t.split()) for t in re.split("<[^>]*>", body) if t.strip()])
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    done = html_text.extract_text(pages).toPandas().set_index("page_id").text
+    assert done.to_dict() == {k: "\n\n".join(texts) for k, texts in enumerate(want)}
+
+
 def test_html_pieces():
     text = html_text.Wrapper(None).text
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
