@@ -275,6 +275,26 @@ def test_html_whole_article(spark, layout):
     assert done.to_dict() == {k: "\n\n".join(texts) for k, texts in enumerate(want)}
 
 
+def test_html_all_pages(spark):
+    """Template is told from all pages of a host, not from a few; a second layout has its own main text; copies count once."""
+    rows, want = [], {}
+    for share in range(50, 100, 5):
+        for k in range(100):
+            notice = "<div><p>Our shop is closed</p></div>" if k < share else ""
+            body = f"<div class='x'><h2>Title {k}</h2><p>Text {k} is told here.</p></div>"
+            texts = [f"Title {k}", f"Text {k} is told here."]
+            if k % 10 == 9:
+                body = f"<div class='y'><div class='z'><p>Lead {k}</p></div></div><div class='v'><div class='w'><p>Report {k} is told here.</p></div></div>"
+                texts = [f"Lead {k}", f"Report {k} is told here."]
+            want[len(rows)] = "\n\n".join(["Our shop is closed"] * (k < share < 80) + texts)
+            rows.append((len(rows), f"http://host{share}.example/{k}", f"<html><body>{notice}{body}</body></html>"))
+    for k in range(10):
+        want[len(rows)] = "Told again"
+        rows.append((len(rows), f"http://copies.example/{k}", "<html><body><p>Told again</p></body></html>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert html_text.extract_text(pages).toPandas().set_index("page_id").text.to_dict() == want
+
+
 def test_html_pieces():
     text = html_text.Wrapper(None).text
     assert text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
