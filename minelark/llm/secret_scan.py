@@ -30,8 +30,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]++")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}+")
 # fixed values: words that make a place sensitive
 SENSITIVE = "access apikey auth authorization bearer credential credentials key passphrase password private pwd secret signature token"
+_CHANGE = r"(?-i:(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z]))"  # where a word begins or ends in camelCase
 _PLACE = re.compile(
-    rf"""(?<![A-Za-z])(?:{"|".join(SENSITIVE.split())})(?![a-z])[^\n]{{0,24}}?[\x20"'=:]([A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}+)""",
+    rf"""(?:(?<![A-Za-z])|{_CHANGE})(?:{"|".join(SENSITIVE.split())})(?:(?![a-z])|{_CHANGE})[^\n]{{0,24}}?[\x20"'=:]([A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}+)""",
     re.ASCII | re.IGNORECASE,
 )
 _IDENTIFIER = r"[A-Za-z_]{4,24}"
@@ -51,6 +52,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in _HEX.finditer(text)]
 
 
+def surroundings(text: str, start: int, end: int) -> dict[str, str]:
+    """The text on both sides of a value, without other copies of it, also such as the bounds would cut."""
+    value, reach = text[start:end], AROUND + end - start
+    before = text[max(0, start - reach) : start].replace(value, "")
+    return {"before": before[-AROUND:], "after": text[end : end + reach].replace(value, "")[:AROUND]}
+
+
 def find(text: str | None) -> list[dict]:
     """Base spans, and candidates with the text around them."""
     text = text or ""
@@ -59,8 +67,7 @@ def find(text: str | None) -> list[dict]:
     for m in _PLACE.finditer(text):
         s, e = m.span(1)
         if not any(start <= s and e <= end for _, start, end in base):
-            around = {"before": text[max(0, s - AROUND) : s], "after": text[e : e + AROUND]}
-            out.append({"base": False, "kind": "novel", "start": s, "end": e, "value": m[1], **around})
+            out.append({"base": False, "kind": "novel", "start": s, "end": e, "value": m[1], **surroundings(text, s, e)})
     return out
 
 
@@ -119,8 +126,8 @@ def scan_secrets(docs: DataFrame, threshold: float = NOVELTY) -> DataFrame:
     """The columns of ``docs`` but for the text, and ``secrets``: spans in code points, end exclusive.
 
     Base spans (assignments, access ids, long hex strings) are always there. Strings of 16 or more characters behind a
-    sensitive word on the same line are candidates: how many bytes each adds to the text around it, compressed with
-    zstandard primed by a dictionary of common identifiers and of those the corpus uses around candidates. From
+    sensitive word on the same line, which may be part of a camelCase name, are candidates: how many bytes each adds to
+    the text around it, without other copies of the string, compressed with zstandard primed by a dictionary of common identifiers and of those the corpus uses around candidates. From
     ``threshold`` bytes per character on they are reported as ``novel``.
 
     Null text counts as empty: no spans. Repeated rows are each searched. An input column named ``secrets`` gives way;

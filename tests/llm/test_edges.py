@@ -207,6 +207,19 @@ def test_secret_novelty(spark):
     assert spans == {0: [("novel", 22, 46)], 1: [], 2: [], 3: []}
 
 
+def test_secret_places(spark):
+    """A secret does not hide its copies, whole or cut by the bounds; names in camelCase are sensitive too."""
+    secret = "Zq8vK2mXw9Lr4TfYb7Nc1Hd6"
+    names = ["secretKey", "privateKey", "accessKey", "signingKey", "dbCredential", "AWSKey", "tokenValue"]
+    texts = [f'{name} = "{secret}"' for name in names] + [f'{name} = "{secret}"' for name in ("monkey", "keyboard", "authorName", "Tokenizer")]
+    texts.append(f'The primary private key is "{secret}", to be kept safe. The backup private key is "{secret}".')
+    texts += [f'The private key is "{secret}",{" " * gap}and the backup private key is "{secret}".' for gap in (1, 121, 131)]
+    found = secret_scan.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).toPandas()
+    spans = {r.doc_id: [(s["start"], s["end"]) for s in r.secrets] for r in found.itertuples()}
+    want = {k: [m.span() for m in re.finditer(secret, text)] for k, text in enumerate(texts)}
+    assert spans == want | {k: [] for k in range(len(names), len(names) + 4)}
+
+
 @pytest.mark.parametrize("text", [
     "", " ", "a", "a b", "a  b", " a b ", "a \n b", "a\nb\n\nc", "it's o'clock 's 'll", "x<|endoftext|>y <|endoftext|> z", "word " * 5000,
     "tab\tx y", "nbsp x y z ​q", "日本 語\n中 文", "!!! ??? ,,, a", "é e ́x", "1 2 3 1234567 a1", "a \x1c b\x85c d", "end ", "\n", " \n",
