@@ -91,4 +91,120 @@ FROM d JOIN b ON d.shingle = b.shingle JOIN sizes s ON s.id = b.id
 GROUP BY d.id, b.id HAVING 100 * count(*) >= 75 * max(n)
 """
 
-ORACLES = {"op2_decontamination": DECONTAMINATION, "op6_line_dedup": LINE_DEDUP, "op7_quality_rules": QUALITY}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda x, k: xor(x >> 1, (x & 1) * 3988292384), n)) AS crc)"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of the UTF-8 bytes of a string of code points below U+0100, beside ``crc_table``."""
+    code = f"list_transform(string_split({text}, ''), lambda c: unicode(c)::BIGINT)"
+    utf8 = f"flatten(list_transform({code}, lambda u: CASE WHEN u < 128 THEN [u] ELSE [194 + (u - 128) // 64, 128 + u % 64] END))"
+    return f"xor(list_reduce({utf8}, lambda s, b: xor(crc[(xor(s, b) & 255) + 1], s >> 8), 4294967295), 4294967295)"
+
+
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents) GROUP BY doc_id, run),
+hashed AS (SELECT run, times, {_crc32("doc_id || ':' || run")} AS h FROM runs, crc_table),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+without AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM without a JOIN without b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM without a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM without a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*)::BIGINT AS n_near, max(other_n) AS form_n FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+forms AS (
+  SELECT f.word, min(other) AS form FROM formed f JOIN near e ON e.word = f.word AND e.other_n = f.form_n GROUP BY f.word),
+led AS (SELECT word, form AS root FROM forms UNION ALL SELECT led.word, forms.form FROM led JOIN forms ON led.root = forms.word),
+ends AS (SELECT word, root FROM led WHERE root NOT IN (SELECT word FROM forms))
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n
+FROM formed f LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)
+"""
+
+_LEVELS = 7  # eights of documents in a language that the SQL can climb
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256(concat({', '.join(_field(f) for f in ('doc_id', 'source', 'lang', 'n_chars', text))}))"
+
+
+def _climb(name: str, group: str) -> str:
+    """The levels of a tree as ``<name>0`` to ``<name><_LEVELS>`` of group, pos, node; a group ends where it has one node."""
+    steps = []
+    for k in range(_LEVELS):
+        below = f"(SELECT *, count(*) OVER (PARTITION BY {group}) AS total FROM {name}{k})"
+        steps.append(f"""{name}{k + 1} AS (
+  SELECT {group}, pos // 8 AS pos, sha256(string_agg(node, '' ORDER BY pos)) AS node FROM {below} WHERE total > 1 GROUP BY {group}, pos // 8)""")
+    return ",\n".join(steps)
+
+
+def _siblings(name: str, group: str, start: str) -> str:
+    """Per node of level 0 its siblings on all levels, before and behind it."""
+    levels = " UNION ALL ".join(
+        f"""SELECT s.{group}, s.pos, {k} AS level, coalesce(string_agg(o.node, '' ORDER BY o.pos) FILTER (o.pos < s.pos // {8**k}), '') AS before,
+       coalesce(string_agg(o.node, '' ORDER BY o.pos) FILTER (o.pos > s.pos // {8**k}), '') AS behind
+  FROM {name}0 s JOIN {name}{k} o ON o.{group} IS NOT DISTINCT FROM s.{group} AND o.pos // 8 = s.pos // {8 ** (k + 1)}
+  JOIN {name}{k + 1} up ON up.{group} IS NOT DISTINCT FROM s.{group} AND up.pos = s.pos // {8 ** (k + 1)}
+  GROUP BY s.{group}, s.pos""" for k in range(_LEVELS))
+    return f"{start} AS ({levels})"
+
+
+MANIFEST = f"""
+WITH {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents, crc_table),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos FROM leaves),
+d0 AS (SELECT lang, pos, leaf AS node FROM ranked),
+{_climb("d", "lang")},
+subroots AS ({" UNION ALL ".join(f"SELECT lang, any_value(node) AS subroot FROM d{k} GROUP BY lang HAVING count(*) = 1" for k in range(_LEVELS + 1))}),
+t0 AS (SELECT 1 AS one, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, subroot AS node, lang FROM subroots),
+{_climb("t", "one")},
+roots AS ({" UNION ALL ".join(f"SELECT any_value(node) AS root FROM t{k} HAVING count(*) = 1" for k in range(_LEVELS + 1))}),
+{_siblings("d", "lang", "inner_side")},
+{_siblings("t", "one", "outer_side")},
+sides AS (
+  SELECT r.doc_id, level, before, behind FROM ranked r JOIN inner_side s ON s.lang IS NOT DISTINCT FROM r.lang AND s.pos = r.pos
+  UNION ALL
+  SELECT r.doc_id, {_LEVELS} + level, before, behind
+  FROM ranked r JOIN t0 ON t0.lang IS NOT DISTINCT FROM r.lang JOIN outer_side s ON s.pos = t0.pos),
+proofs AS (SELECT doc_id, list([before, behind] ORDER BY level) AS proof FROM sides GROUP BY doc_id),
+folds AS (
+  SELECT r.doc_id, r.lang, leaf, coalesce(proof, []) AS proof,
+    list_reduce(coalesce(proof, []), lambda node, p: ['', sha256(p[1] || node[2] || p[2])], ['', coalesce(changed, leaf)])[2] AS folded_root
+  FROM ranked r LEFT JOIN proofs USING (doc_id))
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(flatten(proof), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folds f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang, roots
+"""
+
+_TRIPLES = _SHINGLES.replace("len(w) >= 5", "len(w) >= 3").replace("len(w) - 3", "len(w) - 1").replace("k + 4", "k + 2")
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE d AS ({_TRIPLES.format(id="doc_id", table="documents")}),
+sizes AS (SELECT id, count(*)::BIGINT AS n FROM d GROUP BY id),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM d a JOIN d b ON a.shingle = b.shingle AND a.id <> b.id
+  JOIN sizes s ON s.id = a.id JOIN sizes t ON t.id = b.id
+  GROUP BY a.id, b.id HAVING 100 * count(*) >= 90 * (max(s.n) + max(t.n) - count(*))),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reached WHERE a = doc_id), doc_id)) AS component_id
+FROM documents LEFT JOIN sizes ON id = doc_id
+"""
+
+ORACLES = {
+    "op2_decontamination": DECONTAMINATION, "op6_line_dedup": LINE_DEDUP, "op7_quality_rules": QUALITY,
+    "op11_spelling": SPELLING, "op12_manifest": MANIFEST, "op13_ngram_join": NGRAM_JOIN,
+}

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minelark.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, ngram_model, pii, quality, secret_scan, token_counts
+from minelark.llm import (
+    decontaminate, html_text, line_dedup, manifest, mixing, near_dedup, ngram_model, pii, quality, secret_scan, set_join, spelling,
+    token_counts,
+)
 from minelark.llm.spans import span_digests
 
 
@@ -75,4 +78,22 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = manifest.manifest(docs.withColumn("tampered_leaf", F.when(tampered, manifest.lowered_leaf())))
+    folded = manifest.folded(F.coalesce("tampered_leaf", "leaf"), F.col("proof"))
+    rows = made.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = set_join.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
