@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
+from minelark.functions.text import narrow_hash_parameters
 from minelark.operators import baskets as B
 from minelark.operators import clusters as C
 from minelark.operators import links as L
 from minelark.operators import neardup as N
 from minelark.operators import similarity as S
-from minelark.plans.lineage import settle
-from minelark.sources import sinks
+from minelark.plans.lineage import new_path, settle
+from minelark.sources import readers, sinks
 from minelark.sources.views import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,57 @@ def friend_suggestion_lines_all(spark, sf_dir):
     return L.suggestion_lines(L.rank_all(suggested_from_lines(spark, sf_dir)), ids_per_line=20)
 
 
+# tables written as text, and read back by the readers
+
+
+def staged(df: DataFrame, sep: str | None = None) -> str:
+    """The path of a table written to the shared folder as lines, or with ``sep`` as a delimited table."""
+    path = new_path(df.sparkSession)
+    sinks.write_lines(df, path) if sep is None else sinks.write_table(df, path, sep)
+    return path
+
+
+@query
+def adjacency_file(spark, sf_dir):
+    lists = readers.read_adjacency(spark, staged(load(spark, sf_dir, "adjacency_lines")))
+    rows = lists.select("user", F.size("friends").cast("long").alias("n_friends"), F.explode_outer("friends").alias("friend"))
+    return rows.na.fill(-1, ["friend"])
+
+
+@query
+def conditions_file(spark, sf_dir):
+    return readers.read_conditions(spark, staged(load(spark, sf_dir, "conditions"), ","))
+
+
+@query
+def inferred_table_file(spark, sf_dir):
+    """A table whose types are found from its text: whole numbers, fractions, dates, truth values, text and nothing."""
+    return readers.read_table(spark, staged(load(spark, sf_dir, "mixed_types"), "|"), "|", types="infer")
+
+
+@query
+def ratings_file(spark, sf_dir):
+    ratings = load(spark, sf_dir, "ratings").withColumnsRenamed({"user_id": "userId", "item_id": "movieId"})
+    return readers.read_ratings(spark, staged(ratings, ","))
+
+
+@query
+def movies_file(spark, sf_dir):
+    return readers.read_movies(spark, staged(load(spark, sf_dir, "movies").withColumnRenamed("item_id", "movieId"), ","))
+
+
+@query
+def features_file(spark, sf_dir):
+    """Features below further header rows, which have no numeric key."""
+    table = feature_table(spark, sf_dir).withColumn("feature", F.col("feature").cast("string"))
+    notes = spark.createDataFrame([("statistics",), ("number",), (None,)], "feature string")
+    read = readers.read_features(spark, staged(notes.unionByName(table, allowMissingColumns=True), ","))
+    names = [f"`f.{p}`" for p in range(64)]
+    return read.select(F.col("feature").alias("id"), F.posexplode(F.array(*names)).alias("dim", "value")).withColumn(
+        "value", F.round("value", 4)
+    )
+
+
 # baskets
 
 
@@ -213,6 +265,20 @@ def minhash_signatures(spark, sf_dir):
     return signatures.select("doc_id", F.posexplode("signature").alias("seed", "value"))
 
 
+@query
+def minhash_narrow(spark, sf_dir):
+    """The older hash, of a hundred values and one multiplier."""
+    signatures = N.minhash(distinct_sets(spark, sf_dir), narrow_hash_parameters(100), 100)
+    return signatures.select("doc_id", F.posexplode("signature").alias("seed", "value"))
+
+
+@query
+def minhash_given_hashes(spark, sf_dir):
+    """Hashes given by the caller, by another prime."""
+    signatures = N.minhash(distinct_sets(spark, sf_dir), oracles.GIVEN_HASHES, oracles.GIVEN_PRIME)
+    return signatures.select("doc_id", F.posexplode("signature").alias("seed", "value"))
+
+
 @query
 def lsh_band_candidates(spark, sf_dir):
     return N.lsh_candidates(settle(N.band_keys(N.minhash(distinct_sets(spark, sf_dir)))))

@@ -25,6 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return f"{shared_folder(spark)}/minelark/{spark.sparkContext.applicationId}/{uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, store it as a table in the shared folder and read it from there.
 
@@ -34,8 +39,7 @@ def settle(df: DataFrame) -> DataFrame:
     it replaces, which grows without bound from round to round.
     """
     spark = df.sparkSession
-    run = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/minelark/{run}/{uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._settled_at = path

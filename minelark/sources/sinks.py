@@ -22,3 +22,8 @@ def pair_lines(measured: DataFrame) -> DataFrame:
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write the ``value`` column as text files."""
     lines.select("value").write.mode(mode).text(path)
+
+
+def write_table(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
+    """Write a delimited text table with a header; nulls are empty fields, quotes are doubled."""
+    df.write.mode(mode).csv(path, header=True, sep=sep, escape='"')

@@ -10,19 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("lineitem", "orders", "supplier", "part", "events", "documents", "embeddings")
 
 VIEWS = {
-    # parts returned together in one order are friends of each other
+    # parts sold together in one order are friends of each other
     "edges": """
         SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst
         FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey
-        WHERE a.l_partkey <> b.l_partkey AND a.l_returnflag = 'R' AND b.l_returnflag = 'R'
-          AND a.l_linestatus = 'F' AND b.l_linestatus = 'F'""",
+        WHERE a.l_partkey <> b.l_partkey""",
     # the same as text, one friend a line
     "friend_lines": """
         SELECT concat(CAST(src AS STRING), chr(9), CAST(dst AS STRING)) AS value FROM (
         SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst
         FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey
-        WHERE a.l_partkey <> b.l_partkey AND a.l_returnflag = 'R' AND b.l_returnflag = 'R'
-          AND a.l_linestatus = 'F' AND b.l_linestatus = 'F')""",
+        WHERE a.l_partkey <> b.l_partkey)""",
     # first line items give a user without friends, the others two friends
     "adjacency_lines": """
         SELECT CASE WHEN l_linenumber = 1 THEN CAST(l_orderkey AS STRING)
@@ -42,6 +40,13 @@ VIEWS = {
     "user_events": """
         SELECT user_id, event_type AS item_id, max(value) AS rating
         FROM {events} GROUP BY user_id, event_type""",
+    # a column of each type, all of them text in a file; codes mix whole numbers with others
+    "mixed_types": """
+        SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS shipped,
+               CASE WHEN l_linenumber = 7 THEN NULL ELSE l_discount > 0.05 END AS reduced, l_returnflag,
+               CASE WHEN l_linenumber = 1 THEN concat('P', CAST(l_partkey AS STRING)) ELSE CAST(l_partkey AS STRING) END AS code,
+               CAST(NULL AS STRING) AS remark
+        FROM {lineitem}""",
     "movies": "SELECT p_partkey AS item_id, p_name AS title, p_type AS genres FROM {part}",
     "docs": "SELECT doc_id, text FROM {documents}",
     "document_lines": "SELECT concat(CAST(doc_id AS STRING), chr(9), text) AS value FROM {documents}",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from minelark.functions.text import PRIME, hash_parameters
+from minelark.functions.text import PRIME, hash_parameters, narrow_hash_parameters
 from minelark.sources.views import sql
 
 EDGES, RATINGS, CONDITIONS = sql("edges"), sql("ratings"), sql("conditions")
@@ -48,6 +48,18 @@ SEEDS = ", ".join(f"({s}, {a}, {b})" for s, (a, b) in enumerate(hash_parameters(
 SIGNATURES = f"""{SHINGLES},
 sig AS (SELECT doc_id, seed, min((a * (code % {PRIME}) + b) % {PRIME}) AS value
         FROM s, (VALUES {SEEDS}) h(seed, a, b) GROUP BY doc_id, seed)"""
+GIVEN_PRIME = 1_000_003
+GIVEN_HASHES = [(7, 1), (1_009, 77), (999_999, 500_000)]
+
+
+def _signatures(hashes: list[tuple[int, int]], prime: int) -> str:
+    seeds = ", ".join(f"({s}, {a}, {b})" for s, (a, b) in enumerate(hashes))
+    return f"""
+        WITH {SHINGLES}
+        SELECT doc_id, seed, min((a * (code % {prime}) + b) % {prime}) AS value
+        FROM s, (VALUES {seeds}) h(seed, a, b) GROUP BY doc_id, seed"""
+
+
 CANDIDATES = f"""{SIGNATURES},
 bands AS (SELECT doc_id, seed // 5 AS band, list(value ORDER BY seed) AS key FROM sig GROUP BY doc_id, seed // 5),
 cand AS (SELECT x.doc_id AS i, y.doc_id AS j, count(*) AS bands FROM bands x JOIN bands y
@@ -151,6 +163,19 @@ def oracle_sql() -> dict[str, str]:
                    friend::BIGINT AS friend
             FROM (SELECT f, unnest(CASE WHEN len(f) > 1 THEN string_split(f[2], ',') ELSE ['-1'] END) AS friend
                   FROM lines)""",
+        "adjacency_file": f"""
+            WITH lines AS (SELECT string_split(value, chr(9)) AS f FROM ({sql("adjacency_lines")}))
+            SELECT f[1]::BIGINT AS "user", CASE WHEN len(f) > 1 THEN len(string_split(f[2], ',')) ELSE 0 END AS n_friends,
+                   friend::BIGINT AS friend
+            FROM (SELECT f, unnest(CASE WHEN len(f) > 1 THEN string_split(f[2], ',') ELSE ['-1'] END) AS friend
+                  FROM lines)""",
+        "conditions_file": CONDITIONS,
+        "inferred_table_file": sql("mixed_types").replace("l_linenumber,", "l_linenumber::BIGINT AS l_linenumber,", 1),
+        "ratings_file": RATINGS,
+        "movies_file": sql("movies"),
+        "features_file": f"""
+            SELECT id, dim::INTEGER AS dim, round(x, 4) AS value
+            FROM (SELECT id, unnest(features) AS x, unnest(range(64)) AS dim FROM ({VECTORS}))""",
         "common_neighbour_pairs": f"WITH {PAIRS} SELECT a, b, score FROM pairs",
         "common_neighbour_pairs_split": f"WITH {PAIRS} SELECT a, b, score FROM pairs",
         "friend_suggestions_topn": f"""
@@ -206,6 +231,8 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT doc_id, {CLEAN} AS t FROM documents)""",
         "shingle_counts": f"WITH {SHINGLES} SELECT doc_id, n FROM sizes",
         "minhash_signatures": f"WITH {SIGNATURES} SELECT doc_id, seed, value FROM sig",
+        "minhash_narrow": _signatures(narrow_hash_parameters(100), 100),
+        "minhash_given_hashes": _signatures(GIVEN_HASHES, GIVEN_PRIME),
         "lsh_band_candidates": f"WITH {CANDIDATES} SELECT i, j, bands FROM cand",
         "lsh_jaccard": f"""
             WITH {CANDIDATES}, {_jaccard("cand")}
