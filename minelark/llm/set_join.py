@@ -16,19 +16,21 @@ from pyspark.sql.functions import arrow_udf
 
 from minelark.llm.components import components
 from minelark.llm.ngram_model import pack, summed, unpack
-from minelark.llm.texts import quoted, shingle_sets, slices, whole, with_columns
-from minelark.plans.lineage import settle
+from minelark.llm.texts import distinct, quoted, shingle_sets, slices, whole, with_columns
+from minelark.plans.lineage import new_path, release, settle
 
 WORDS = 3
 PERCENT = 90
 CHUNK_SHINGLES = 1_000_000
-SHARD_SHINGLES = 4_000_000
+SHARD_SHINGLES = 1_000_000
+HASH_BITS = 48
 STRAYS, MEMBERS = 256, 1024
 SALTS = 32
 PIVOTS = 32
 
 _CHUNK = pa.schema([
     ("chunk", pa.int64()), ("shard", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("data", pa.binary()),
+    ("part", pa.string()),
 ])
 
 
@@ -56,22 +58,22 @@ def unpack_places(blob: bytes) -> np.ndarray:
 def chunks(docs: DataFrame, shards: int, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
     """Documents as chunks of about ``chunk_shingles`` shingles, in rows of two kinds.
 
-    Per document (``shard`` null): the size ``n`` of its set, a 128-bit ``print`` of it, and the places of its shingles
-    among those of the chunk. Per range of hashes, a shard: the chunk's sorted shingles in it, and in how many documents
-    of the chunk each is.
+    Per document (``part`` is ``sets``): the size ``n`` of its set, a 128-bit ``print`` of it, and the places of its shingles
+    among those of the chunk. Per range of hashes (``part`` is ``shards``): the chunk's sorted shingles in it, and in how
+    many documents of the chunk each is.
     """
-    width = np.uint64((1 << 64) // shards) if shards > 1 else None
+    width = (1 << HASH_BITS) // shards
 
     def rows(chunk: int, ids: list, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         every, counts = summed(np.concatenate(sets), np.ones(sum(map(len, sets)), np.uint64)) if sets else (np.empty(0, np.uint64),) * 2
         out = [
-            (chunk, None, i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), pack_places(np.searchsorted(every, s)))
+            (chunk, None, i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), pack_places(np.searchsorted(every, s)), "sets")
             for i, s in zip(ids, sets)
         ]
-        bounds = np.searchsorted(every, np.arange(shards, dtype=np.uint64) * width).tolist() if width else [0]
+        bounds = np.searchsorted(every, np.arange(shards, dtype=np.uint64) * np.uint64(width)).tolist()
         for shard, (a, b) in enumerate(zip(bounds, [*bounds[1:], len(every)])):
             if a < b:
-                out.append((chunk, shard, None, None, None, pack(every[a:b], counts[a:b])))
+                out.append((chunk, shard, None, None, None, pack(every[a:b], counts[a:b]), "shards"))
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), _CHUNK.types)], schema=_CHUNK) if out else _CHUNK.empty_table().to_batches()[0]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +83,7 @@ def chunks(docs: DataFrame, shards: int, chunk_shingles: int = CHUNK_SHINGLES) -
             names = iter(batch.column("doc_id").to_pylist())
             for texts in slices(batch.column("text")):
                 for own in shingle_sets(texts, WORDS):
-                    name = next(names)
+                    name, own = next(names), distinct(own >> np.uint64(64 - HASH_BITS))
                     if len(own) and name is not None:
                         ids.append(name), sets.append(own)
                         held += len(own)
@@ -91,7 +93,7 @@ def chunks(docs: DataFrame, shards: int, chunk_shingles: int = CHUNK_SHINGLES) -
         if sets:
             yield from rows(chunk, ids, sets)
 
-    return docs.mapInArrow(build, "chunk bigint, shard int, doc_id bigint, n bigint, print binary, data binary")
+    return docs.mapInArrow(build, "chunk bigint, shard int, doc_id bigint, n bigint, print binary, data binary, part string")
 
 
 def frequency_class(documents: np.ndarray) -> np.ndarray:
@@ -99,7 +101,7 @@ def frequency_class(documents: np.ndarray) -> np.ndarray:
     return np.minimum(np.floor(4 * np.log2(documents.astype(np.float64))), 255).astype(np.uint8)
 
 
-def classes(chunked: DataFrame) -> DataFrame:
+def classes(shards: DataFrame) -> DataFrame:
     """``chunk, shard, classes, shared``: the frequency class of each shingle of a chunk, and those in two documents or more.
 
     A shard is a range of hashes, with as many shingles as any other, so no frequent one matters. It goes through one
@@ -117,15 +119,14 @@ def classes(chunked: DataFrame) -> DataFrame:
             shared.append(pack(shingles[own > 0]))
         return pa.table({"chunk": table["chunk"], "shard": table["shard"], "classes": pa.array(found, pa.binary()), "shared": pa.array(shared, pa.binary())})
 
-    rows = chunked.where("shard is not null").select("shard", "chunk", "data")
-    return rows.groupBy("shard").applyInArrow(count, "chunk bigint, shard int, classes binary, shared binary")
+    return shards.select("shard", "chunk", "data").groupBy("shard").applyInArrow(count, "chunk bigint, shard int, classes binary, shared binary")
 
 
 _ORDERED = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("alone", pa.int64()), ("shared", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
 
-def ordered(reps: DataFrame, graded: DataFrame, percent: int) -> DataFrame:
-    """``id, n, alone, shared, prefix`` of the sets that can have similar ones.
+def ordered(sets: DataFrame, reps: DataFrame, graded: DataFrame, percent: int) -> DataFrame:
+    """``id, n, alone, shared, prefix`` of those of the ``sets`` named in ``reps`` that can have similar ones.
 
     ``alone`` counts the shingles that no other document has; they come first. ``shared`` are the others, rarest first.
     ``prefix`` are those of the set's prefix that are shared. Sets whose prefix has none are similar to no other.
@@ -138,24 +139,39 @@ def ordered(reps: DataFrame, graded: DataFrame, percent: int) -> DataFrame:
         shingle = np.zeros(len(grade), np.uint64)
         shingle[grade > 0] = np.concatenate([unpack(s)[0] for *_, s in parts])
         out = []
-        for name, n, data in zip(*(documents[c].to_pylist() for c in ("id", "n", "data"))):
+        rows = list(zip(*(documents[c].to_pylist() for c in ("doc_id", "n", "print", "data"))))
+        wanted = {(name, own) for name, _, own, data in rows if data is None}
+        for name, n, own, data in rows:
+            if data is None or (name, own) not in wanted:
+                continue
+            wanted.discard((name, own))
             places = unpack_places(data)
             places = places[grade[places] > 0]
             alone = n - len(places)
             take = prefix_length(n, percent) - alone
             if take > 0 and len(places):
                 own = shingle[places[np.argsort(grade[places], kind="stable")]]
-                out.append((name, n, alone, own.tobytes(), own[:take].view(np.int64)))
+                out.append((name, n, alone, packed(own), own[:take].view(np.int64)))
         if not out:
             return _ORDERED.empty_table()
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), _ORDERED.types)], schema=_ORDERED)
 
-    left = reps.select("chunk", "id", "n", "data").groupBy("chunk")
+    columns = ("chunk", "doc_id", "n", "print", "data")
+    marks = reps.select("chunk", F.col("id").alias("doc_id"), "print").withColumns({c: F.lit(None).cast(t) for c, t in (("n", "bigint"), ("data", "binary"))})
+    left = sets.select(*columns).unionByName(marks.select(*columns)).groupBy("chunk")
     return left.cogroup(graded.groupBy("chunk")).applyInArrow(order, "id bigint, n bigint, alone bigint, shared binary, prefix array<bigint>")
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """Hashes as little-endian numbers of ``HASH_BITS``."""
+    return hashes.view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8].tobytes()
+
+
 def tokens(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, np.uint64)
+    """The inverse of :func:`packed`."""
+    out = np.zeros((len(blob) * 8 // HASH_BITS, 8), np.uint8)
+    out[:, : HASH_BITS // 8] = np.frombuffer(blob, np.uint8).reshape(len(out), -1)
+    return out.view(np.uint64).ravel()
 
 
 def similar(a: np.ndarray, n: int, b: np.ndarray, m: int, percent: int) -> bool:
@@ -206,7 +222,7 @@ def probe(strays: list[tuple], members: list[tuple], percent: int) -> list[tuple
     places = np.concatenate([np.arange(len(h)) for h in heads]) + alone[owners]
     order = np.argsort(index, kind="stable")
     index, owners, places = index[order], owners[order], places[order]
-    shift = np.uint64(64 - int(math.log2(PIVOTS)))
+    shift = np.uint64(HASH_BITS - int(math.log2(PIVOTS)))
     parts = np.unique([m[1] for m in members] + [s[1] for s in strays], return_inverse=True)[1]
     member_part, found = parts[: len(members)], []
     for (name, _, n, first, own), part in zip(strays, parts[len(members) :]):
@@ -312,7 +328,7 @@ def similar_documents(
 
     Documents are linked if their distinct three-word shingles (A-Z lower-cased) in common are at least ``percent`` of
     both together; ``component_id`` is the least ``doc_id`` that links lead to. No similar pair is missed, and links are
-    confirmed on the full sets (of 64-bit hashes).
+    confirmed on the full sets (of 48-bit hashes).
 
     Fewer than three words: the whole sequence is the one shingle. No words, or null text: an empty set, linked with
     nothing. Null ``doc_id``: linked with nothing, both columns null. Rows that repeat a ``doc_id`` (a whole number) are
@@ -325,14 +341,20 @@ def similar_documents(
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 + size // (6 * shard_shingles)
-    chunked = settle(chunks(docs.select(F.col("doc_id").cast("long"), "text"), shards, chunk_shingles))
-    own = chunked.where("shard is null").select("doc_id", "n", "print")
-    least = F.min(F.struct(F.col("doc_id").alias("id"), "chunk", "n", "data"))
-    reps = settle(chunked.where("shard is null").groupBy("print").agg(least.alias("s")).select("print", "s.*"))
-    sets = settle(ordered(reps, settle(classes(chunked)), percent))
-    found = links(sets, percent)
+    chunked = chunks(docs.select(F.col("doc_id").cast("long"), "text"), shards, chunk_shingles)
+    path = new_path(docs.sparkSession)
+    chunked.write.partitionBy("part").parquet(path)
+    stored = docs.sparkSession.read.schema(chunked.schema).parquet(path)
+    sets, by_shard = (stored.where(F.col("part") == part) for part in ("sets", "shards"))
+    graded = settle(classes(by_shard))
+    by_shard._settled_at = f"{path}/part=shards"
+    release(by_shard)
+    least = F.min(F.struct(F.col("doc_id").alias("id"), "chunk"))
+    reps = settle(sets.groupBy("print").agg(least.alias("s")).select("print", "s.*"))
+    found = links(settle(ordered(sets, reps, graded, percent)), percent)
     classed = with_least(found, reps.select("print", "id"), "id", "_sj_class").select("print", "_sj_class")
-    of = own.join(classed, "print").groupBy("doc_id").agg(F.max("n").alias("_sj_n"), F.min("_sj_class").alias("_sj_class"))
+    of = sets.select("doc_id", "n", "print").join(classed, "print")
+    of = of.groupBy("doc_id").agg(F.max("n").alias("_sj_n"), F.min("_sj_class").alias("_sj_class"))
     others = [c for c in docs.columns if c.lower() not in ("text", "n_shingles", "component_id")]
     joined = docs.select(*quoted(others)).join(of.withColumnRenamed("doc_id", "_sj_id"), F.col("doc_id") == F.col("_sj_id"), "left")
     known = F.col("doc_id").isNotNull()
