@@ -107,7 +107,11 @@ def conditions_file(spark, sf_dir):
 @query
 def inferred_table_file(spark, sf_dir):
     """A table whose types are found from its text: whole numbers, fractions, dates, truth values, text and nothing."""
-    return readers.read_table(spark, staged(load(spark, sf_dir, "mixed_types"), "|"), "|", types="infer")
+    found = readers.read_table(spark, staged(load(spark, sf_dir, "mixed_types"), "|"), "|", types="infer")
+    types = F.concat_ws(",", *[F.typeof(c) for c in found.columns]).alias("types")
+    return found.select("*", types).withColumns({
+        "shipped": F.date_format("shipped", "yyyy-MM-dd"), "reduced": F.col("reduced").cast("int").cast("bigint"),
+    })
 
 
 @query

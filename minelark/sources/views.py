@@ -43,7 +43,7 @@ VIEWS = {
     # a column of each type, all of them text in a file; codes mix whole numbers with others
     "mixed_types": """
         SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS shipped,
-               CASE WHEN l_linenumber = 7 THEN NULL ELSE l_discount > 0.05 END AS reduced, l_returnflag,
+               l_discount > 0.05 AS reduced, l_returnflag,
                CASE WHEN l_linenumber = 1 THEN concat('P', CAST(l_partkey AS STRING)) ELSE CAST(l_partkey AS STRING) END AS code,
                CAST(NULL AS STRING) AS remark
         FROM {lineitem}""",

@@ -170,7 +170,10 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT f, unnest(CASE WHEN len(f) > 1 THEN string_split(f[2], ',') ELSE ['-1'] END) AS friend
                   FROM lines)""",
         "conditions_file": CONDITIONS,
-        "inferred_table_file": sql("mixed_types").replace("l_linenumber,", "l_linenumber::BIGINT AS l_linenumber,", 1),
+        "inferred_table_file": f"""
+            SELECT * REPLACE (l_linenumber::BIGINT AS l_linenumber, strftime(shipped, '%Y-%m-%d') AS shipped, reduced::BIGINT AS reduced),
+                   'bigint,bigint,double,double,date,boolean,string,string,string' AS types
+            FROM ({sql("mixed_types")})""",
         "ratings_file": RATINGS,
         "movies_file": sql("movies"),
         "features_file": f"""
