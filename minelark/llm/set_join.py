@@ -21,8 +21,8 @@ from minelark.plans.lineage import new_path, release, settle
 
 WORDS = 3
 PERCENT = 90
-CHUNK_SHINGLES = 1_000_000
-SHARD_SHINGLES = 1_000_000
+CHUNK_SHINGLES = 300_000
+SHARD_SHINGLES = 500_000
 HASH_BITS = 48
 STRAYS, MEMBERS = 256, 1024
 SALTS = 32
@@ -92,6 +92,7 @@ def chunks(docs: DataFrame, shards: int, chunk_shingles: int = CHUNK_SHINGLES) -
                     chunk, ids, sets, held = chunk + 1, [], [], 0
         if sets:
             yield from rows(chunk, ids, sets)
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(build, "chunk bigint, shard int, doc_id bigint, n bigint, print binary, data binary, part string")
 
@@ -117,6 +118,7 @@ def classes(shards: DataFrame) -> DataFrame:
             own = grades[np.searchsorted(every, shingles)]
             found.append(packer.compress(own.tobytes()))
             shared.append(pack(shingles[own > 0]))
+        pa.default_memory_pool().release_unused()
         return pa.table({"chunk": table["chunk"], "shard": table["shard"], "classes": pa.array(found, pa.binary()), "shared": pa.array(shared, pa.binary())})
 
     return shards.select("shard", "chunk", "data").groupBy("shard").applyInArrow(count, "chunk bigint, shard int, classes binary, shared binary")
