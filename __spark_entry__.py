@@ -58,6 +58,12 @@ def common_neighbour_pairs_split(spark, sf_dir):
 
 @query
 def friend_suggestions_topn(spark, sf_dir):
+    return L.top_suggestions(settle(load(spark, sf_dir, "edges")), 10)
+
+
+@query
+def friend_suggestions_ranked(spark, sf_dir):
+    """The same by counting every pair."""
     return L.ranked_suggestions(L.suggestions(common_neighbour_pairs(spark, sf_dir)), 10)
 
 
@@ -288,6 +294,25 @@ def lsh_band_candidates(spark, sf_dir):
     return N.lsh_candidates(settle(N.band_keys(N.minhash(distinct_sets(spark, sf_dir)))))
 
 
+@query
+def lsh_bucket_members(spark, sf_dir):
+    members = N.bucket_members(settle(N.band_keys(N.minhash(distinct_sets(spark, sf_dir)))))
+    return members.select("band", "doc_id", "first_id", F.array_join(F.transform("key", lambda x: x.cast("string")), ",").alias("key"))
+
+
+@query
+def lsh_star_jaccard(spark, sf_dir):
+    """One measured pair per member of a bucket."""
+    return rounded(N.near_duplicate_stars(load(spark, sf_dir, "docs"))[0], 6, "jaccard")
+
+
+@query
+def lsh_candidates_of_some(spark, sf_dir):
+    """All candidates of every twentieth document."""
+    members = settle(N.bucket_members(N.banded_documents(load(spark, sf_dir, "docs"))))
+    return N.candidates_of(members, load(spark, sf_dir, "docs").where("doc_id % 20 = 0"))
+
+
 @query
 def lsh_jaccard(spark, sf_dir):
     return rounded(N.near_duplicates(load(spark, sf_dir, "docs")), 6, "jaccard")

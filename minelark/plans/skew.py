@@ -43,14 +43,19 @@ def cells(rows: DataFrame, key: Sequence[str], hot_rows: int, block_rows: int) -
     return spread_over_cells(placed, F.col("_blocks")).drop("_rows", "_blocks")
 
 
-def _paired(rows: DataFrame, key: list[str], hot_rows: int, block_rows: int) -> DataFrame:
+def _paired(rows: DataFrame, key: list[str], hot_rows: int, block_rows: int, carried: Sequence[str] = ()) -> DataFrame:
     """``key..., _x, _y`` once for any two members of a group, and both weights ``_wx, _wy`` if there are any.
 
+    ``carried`` columns of both members come along as ``x_<name>`` and ``y_<name>``.
+
     The pairs are far more than the rows, so the join is a sort-merge one even where a side is small: its partitions can
     be split, and it spills.
     """
     spread, cell = cells(rows, key, hot_rows, block_rows), [*key, "lo", "hi"]
-    names = ("lo", {"_m": "_x", "_w": "_wx"}), ("hi", {"_m": "_y", "_w": "_wy"})
+    names = (
+        ("lo", {"_m": "_x", "_w": "_wx", **{c: f"x_{c}" for c in carried}}),
+        ("hi", {"_m": "_y", "_w": "_wy", **{c: f"y_{c}" for c in carried}}),
+    )
     left, right = (
         spread.where(F.col("block") == F.col(at)).select(
             *cell, *[F.col(c).alias(side[c]) for c in side if c in rows.columns]
@@ -86,12 +91,15 @@ def pair_totals(
     without: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
+    carried: Sequence[str] = (),
+    where: Column | None = None,
 ) -> DataFrame:
     """Per pair of members a < b: the number ``n`` of keys holding both.
 
     With ``weight`` also ``dot``, the sum over those keys of the product of both weights; a product with a null weight
     is left out, and ``dot`` is null where no product is left.
     ``by`` names key columns kept in the result. ``rows`` holds each (key, member) once.
+    ``where`` drops pairs as they meet; it sees ``carried`` columns of both members as ``x_<name>`` and ``y_<name>``.
     Pairs ``a, b`` listed in ``without`` are left out: they join the same aggregate as rows
     with a count of 0, which needs neither another shuffle nor a sort of the pairs.
 
@@ -99,8 +107,9 @@ def pair_totals(
     """
     key, by = list(key), list(by)
     weights = [F.col(weight).cast("double").alias("_w")] if weight else []
-    rows = rows.where(F.col(member).isNotNull()).select(*key, F.col(member).alias("_m"), *weights)
-    parts = _paired(rows, key, hot_rows, block_rows).select(
+    rows = rows.where(F.col(member).isNotNull()).select(*key, F.col(member).alias("_m"), *weights, *carried)
+    met = _paired(rows, key, hot_rows, block_rows, carried)
+    parts = (met if where is None else met.where(where)).select(
         *by, F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), F.lit(1).cast("long").alias("n"),
         *([(F.col("_wx") * F.col("_wy")).alias("dot")] if weight else []),
     )
@@ -111,3 +120,12 @@ def pair_totals(
     parts = parts.unionByName(barred, allowMissingColumns=True)
     least = F.min("n").alias("_least")
     return parts.groupBy(*by, "a", "b").agg(*totals, least).where("_least > 0").drop("_least")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as tasks can run at once.
+
+    For costly work on few large files; an input of many splits stays where it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

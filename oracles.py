@@ -183,6 +183,8 @@ def oracle_sql() -> dict[str, str]:
         "common_neighbour_pairs_split": f"WITH {PAIRS} SELECT a, b, score FROM pairs",
         "friend_suggestions_topn": f"""
             WITH {PAIRS} SELECT "user", rank::INTEGER AS rank, suggested, score FROM ranked WHERE rank <= 10""",
+        "friend_suggestions_ranked": f"""
+            WITH {PAIRS} SELECT "user", rank::INTEGER AS rank, suggested, score FROM ranked WHERE rank <= 10""",
         "friend_suggestion_lines": f"""
             WITH {PAIRS} SELECT "user" || chr(9) || string_agg(suggested::VARCHAR, ', ' ORDER BY rank) AS value
             FROM ranked WHERE rank <= 10 GROUP BY "user" """,
@@ -237,6 +239,21 @@ def oracle_sql() -> dict[str, str]:
         "minhash_narrow": _signatures(narrow_hash_parameters(100), 100),
         "minhash_given_hashes": _signatures(GIVEN_HASHES, GIVEN_PRIME),
         "lsh_band_candidates": f"WITH {CANDIDATES} SELECT i, j, bands FROM cand",
+        "lsh_bucket_members": f"""
+            WITH {CANDIDATES}
+            SELECT band::INTEGER AS band, doc_id, first_id, array_to_string(key, ',') AS key
+            FROM (SELECT *, min(doc_id) OVER (PARTITION BY band, key) AS first_id, count(*) OVER (PARTITION BY band, key) AS n FROM bands)
+            WHERE n > 1""",
+        "lsh_star_jaccard": f"""
+            WITH {CANDIDATES},
+            stars AS (SELECT DISTINCT first_id AS i, doc_id AS j
+                      FROM (SELECT *, min(doc_id) OVER (PARTITION BY band, key) AS first_id FROM bands) WHERE doc_id <> first_id),
+            {_jaccard("stars")}
+            SELECT i, j, inter, "union", round(inter / "union", 6) AS jaccard FROM measured""",
+        "lsh_candidates_of_some": f"""
+            WITH {CANDIDATES}
+            SELECT doc_id, other, bands FROM (SELECT i AS doc_id, j AS other, bands FROM cand UNION ALL SELECT j, i, bands FROM cand)
+            WHERE doc_id % 20 = 0""",
         "lsh_jaccard": f"""
             WITH {CANDIDATES}, {_jaccard("cand")}
             SELECT i, j, inter, "union", round(inter / "union", 6) AS jaccard FROM measured""",
