@@ -129,3 +129,14 @@ def spread(df: DataFrame) -> DataFrame:
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def join_spread(rows: DataFrame, table: DataFrame, keys: Sequence[str], by: str, salts: int = 32) -> DataFrame:
+    """``rows`` joined to ``table`` on ``keys`` that many rows may share; ``table`` has few rows for a key.
+
+    Rows are salted by a hash of ``by``, and the table has a copy for each salt that its keys occur with.
+    """
+    keys = list(keys)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    copies = salted.select(*keys, "_salt").distinct().join(table, keys)
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
