@@ -242,14 +242,14 @@ def compare(table: pa.Table) -> pa.Table:
         part = table.filter(pa.array(table["side"].to_numpy() == side))
         sides.append((part["word"].to_pylist(), part["n"].to_numpy().astype(np.int64)))
     (a, n), (b, m) = sides
-    if not a:
-        return _FOUND.empty_table()
-    if not b:  # a node with itself: each pair once, then both ways
+    if table["alone"][0].as_py():  # a node with itself: each pair once, then both ways
         left, right = candidates(a, a)
         left, right = left[left < right], right[left < right]
         near = verified(a, a, left, right)
         left, right = left[near], right[near]
         return best_of(a, n, np.append(left, right), a, n, np.append(right, left))
+    if not a or not b:
+        return _FOUND.empty_table()
     left, right = candidates(a, b)
     near = verified(a, b, left, right)
     left, right = left[near], right[near]
@@ -269,10 +269,11 @@ def near_words(words: DataFrame, node_words: int = NODE_WORDS) -> DataFrame:
     homes = homes.join(nodes, "node").select("word", "n", "node", F.pmod(F.xxhash64("word"), "blocks").cast("int").alias("block"))
     homes = settle(homes)
     pairs = settle(cells(nodes).withColumn("cell", F.monotonically_increasing_id()))
-    sides = pairs.select("cell", "a.*", F.lit(0).alias("side")).unionByName(
-        pairs.where("a != b").select("cell", "b.*", F.lit(1).alias("side"))
+    alone = (F.col("a") == F.col("b")).alias("alone")
+    sides = pairs.select("cell", "a.*", F.lit(0).alias("side"), alone).unionByName(
+        pairs.where("a != b").select("cell", "b.*", F.lit(1).alias("side"), alone)
     )
-    members = homes.join(sides, ["node", "block"]).select("cell", "side", "word", "n")
+    members = homes.join(sides, ["node", "block"]).select("cell", "side", "alone", "word", "n")
     found = members.groupBy("cell").applyInArrow(compare, "word string, n_near bigint, form_n bigint, form string")
     best = F.min(F.struct((-F.col("form_n")).alias("less"), "form"))
     done = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
