@@ -459,6 +459,13 @@ def ward_merges(spark, sf_dir):
     return rounded(C.ward_merges(load(spark, sf_dir, "vectors")).drop("round"), 4, "height")
 
 
+@query
+def ward_merges_by_rounds(spark, sf_dir):
+    """The same with cells of 64 and only the last 64 clusters in one task: the ring search does all before."""
+    merges = C.ward_merges(load(spark, sf_dir, "vectors"), cell_rows=64, last_clusters=64)
+    return rounded(merges.drop("round"), 4, "height")
+
+
 @query
 def ward_cut_k6(spark, sf_dir):
     vectors = load(spark, sf_dir, "vectors")

@@ -335,6 +335,8 @@ def oracle_sql() -> dict[str, str]:
                    round(d / (SELECT max(d) FROM m), 4) AS relative FROM m""",
         "ward_merges": f"""
             WITH RECURSIVE {WARD} SELECT "left", "right", round(height, 4) AS height, size FROM merges""",
+        "ward_merges_by_rounds": f"""
+            WITH RECURSIVE {WARD} SELECT "left", "right", round(height, 4) AS height, size FROM merges""",
         "ward_cut_k6": f"""
             WITH RECURSIVE {WARD},
             kept AS MATERIALIZED (SELECT "left", "right" FROM merges ORDER BY height DESC, step DESC OFFSET 5),
