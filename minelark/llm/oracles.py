@@ -21,17 +21,20 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY doc_id
 """
 
-_STEP = f"(1::BIGINT << greatest(length(bin(value)) - {Q.SKETCH_BITS}, 0)::BIGINT)"
-_FLOORS = " ".join(f"WHEN '{name}' THEN {floor}" for name, (floor, _) in Q.MEASURES.items())
+_STEP = "(1::BIGINT << greatest(length(bin({})) - %d, 0)::BIGINT)" % Q.SKETCH_BITS
+_LOWS = " ".join(f"WHEN '{name}' THEN {low}" for name, (low, _) in Q.MEASURES.items() if low is not None)
+_HIGHS = " ".join(f"WHEN '{name}' THEN {high}" for name, (_, high) in Q.MEASURES.items())
 
 
 def _level(k: int) -> str:
-    """Quartiles of the merged sketches over the first k columns of the group."""
+    """Median and outer quantiles of the merged sketches over the first k columns of the group."""
     keys = ", ".join((*Q.GROUP[:k], "measure"))
     return f"""
-  SELECT {keys}, max(total) AS n, min(bucket) FILTER (4 * below >= total) AS q1, min(bucket) FILTER (4 * below >= 3 * total) AS q3
+  SELECT {keys}, max(total) AS n, min(bucket) FILTER (100 * below >= 50 * total) AS mid,
+    min(bucket) FILTER (100 * below >= CASE measure {_LOWS} END * total) AS low,
+    min(bucket + {_STEP.format("bucket")} - 1) FILTER (100 * below >= CASE measure {_HIGHS} END * total) AS high
   FROM (SELECT {keys}, bucket, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS below, sum(n) OVER (PARTITION BY {keys}) AS total
-        FROM (SELECT {keys}, bucket, sum(n) AS n FROM sketches GROUP BY {keys}, bucket)) GROUP BY {keys}"""
+        FROM (SELECT {keys}, bucket, sum(n)::BIGINT AS n FROM sketches GROUP BY {keys}, bucket)) GROUP BY {keys}"""
 
 
 QUALITY = f"""
@@ -53,25 +56,28 @@ docs AS (
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
     1000 * n_symbols // greatest(n_words, 1) AS symbols, 1000 * n_shouts // greatest(n_words, 1) AS shouts,
     1000 * (len(lines) - len(list_distinct(lines))) // greatest(len(lines), 1) AS dup_lines,
-    100 * word_chars // greatest(n_words, 1) AS word_length
+    100 * word_chars // greatest(n_words, 1) AS word_length,
+    1000 * greatest(n_symbols - 1, 0) // greatest(n_words, 1) AS symbols_less,
+    1000 * greatest(n_shouts - 1, 0) // greatest(n_words, 1) AS shouts_less,
+    1000 * greatest(len(lines) - len(list_distinct(lines)) - 1, 0) // greatest(len(lines), 1) AS dup_lines_less,
+    100 * greatest(word_chars - 1, 0) // greatest(n_words, 1) AS word_length_less
   FROM counted c LEFT JOIN covered USING (doc_id)),
 long AS (
   {" UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m}::BIGINT AS value FROM docs" for m in Q.MEASURES)}),
-sketches AS (SELECT lang, source, measure, value - value % {_STEP} AS bucket, count(*) AS n FROM long GROUP BY ALL),
+sketches AS (SELECT lang, source, measure, value - value % {_STEP.format("value")} AS bucket, count(*) AS n FROM long GROUP BY ALL),
 fine AS ({_level(2)}), coarse AS ({_level(1)}), every AS ({_level(0)}),
 chosen AS (
   SELECT f.lang, f.source, f.measure,
-    CASE WHEN f.n >= {Q.MIN_DOCUMENTS} THEN f.q1 WHEN c.n >= {Q.MIN_DOCUMENTS} THEN c.q1 ELSE e.q1 END AS q1,
-    CASE WHEN f.n >= {Q.MIN_DOCUMENTS} THEN f.q3 WHEN c.n >= {Q.MIN_DOCUMENTS} THEN c.q3 ELSE e.q3 END AS q3
+    {", ".join(f"CASE WHEN f.n >= {Q.MIN_DOCUMENTS} THEN f.{q} WHEN c.n >= {Q.MIN_DOCUMENTS} THEN c.{q} ELSE e.{q} END AS {q}" for q in ("mid", "low", "high"))}
   FROM fine f JOIN coarse c ON f.lang IS NOT DISTINCT FROM c.lang AND f.measure = c.measure JOIN every e ON f.measure = e.measure),
 fences AS (
-  SELECT *, {Q.FENCE} * greatest(q3 - q1, CASE measure {_FLOORS} END) AS spread FROM chosen),
+  SELECT lang, source, measure, low - {Q.MARGIN} * (mid - low) AS low, high + {Q.MARGIN} * (high - mid) AS high FROM chosen),
 bounds AS (
-  SELECT lang, source, {", ".join(f"max(q1 - spread) FILTER (measure = '{m}') AS {m}_low, max(q3 + spread) FILTER (measure = '{m}') AS {m}_high" for m in Q.MEASURES)}
+  SELECT lang, source, {", ".join(f"max(low) FILTER (measure = '{m}') AS {m}_low, max(high) FILTER (measure = '{m}') AS {m}_high" for m in Q.MEASURES)}
   FROM fences GROUP BY lang, source),
 judged AS (
   SELECT d.*, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-    {" AND ".join(f"{m} <= {m}_high" + (f" AND {m} >= {m}_low" if low else "") for m, (_, low) in Q.MEASURES.items())} AS inside
+    {" AND ".join(f"{m}_less <= {m}_high" + (f" AND {m} >= {m}_low" if low is not None else "") for m, (low, _) in Q.MEASURES.items())} AS inside
   FROM docs d JOIN bounds b ON d.lang IS NOT DISTINCT FROM b.lang AND d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept FROM judged
 """

@@ -12,10 +12,10 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SKETCH_BITS = 6
-FENCE = 3
+MARGIN = 2
 MIN_DOCUMENTS = 100
-# Per measure the least spread between quartiles that a fence counts with, and whether low values fail too.
-MEASURES = {"symbols": (50, False), "shouts": (100, False), "dup_lines": (200, False), "word_length": (200, True)}
+# Per measure the outer quantiles, in per cent, from which its low fence (if it has one) and its high fence are taken.
+MEASURES = {"symbols": (None, 90), "shouts": (None, 90), "dup_lines": (None, 98), "word_length": (10, 90)}
 GROUP = ("lang", "source")
 
 
@@ -66,36 +66,58 @@ def with_counts(docs: DataFrame) -> DataFrame:
     })
 
 
-def measures() -> dict[str, Column]:
-    """What the adaptive rules look at, in whole numbers: parts per 1,000, and hundredths of a character."""
+def measures(less: int = 0) -> dict[str, Column]:
+    """What the adaptive rules look at, in whole numbers: parts per 1,000, and hundredths of a character.
+
+    ``less`` is taken off each count first.
+    """
     per = {
-        "symbols": ("1000 * _qr_n_symbols", "_qr_n_words"),
-        "shouts": ("1000 * _qr_n_shouts", "_qr_n_words"),
-        "dup_lines": ("1000 * _qr_n_dup_lines", "_qr_n_lines"),
-        "word_length": ("100 * _qr_word_chars", "_qr_n_words"),
+        "symbols": (1000, "_qr_n_symbols", "_qr_n_words"),
+        "shouts": (1000, "_qr_n_shouts", "_qr_n_words"),
+        "dup_lines": (1000, "_qr_n_dup_lines", "_qr_n_lines"),
+        "word_length": (100, "_qr_word_chars", "_qr_n_words"),
+    }
+    return {
+        name: F.expr(f"({scale} * greatest({part} - {less}, 0L)) div greatest({whole_}, 1L)")
+        for name, (scale, part, whole_) in per.items()
     }
-    return {name: F.expr(f"({part}) div greatest({whole_}, 1L)") for name, (part, whole_) in per.items()}
+
+
+def step(value: str) -> Column:
+    """How many whole numbers the bucket of a value holds."""
+    return F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))).cast("long")
 
 
 def sketch(rows: DataFrame, value: str) -> DataFrame:
     """Per language, source and measure a quantile sketch: counts ``n`` of log-linear buckets.
 
-    A bucket keeps the ``SKETCH_BITS`` leading bits of a value, so a quantile is at most 1/32 too low. Sketches merge
+    A bucket keeps the ``SKETCH_BITS`` leading bits of a value: its values differ by at most 1/32. Sketches merge
     by adding counts, in any order and with the same outcome, which the partial aggregate does before the shuffle.
     """
-    step = F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))).cast("long")
-    bucket = (F.col(value) - F.col(value) % step).alias("bucket")
+    bucket = (F.col(value) - F.col(value) % step(value)).alias("bucket")
     return rows.select(*GROUP, "measure", bucket).groupBy(*GROUP, "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quantiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles ``q1`` and ``q3`` of each merged sketch, and the number ``n`` of its values."""
+    """Of each merged sketch the number ``n`` of its values, its median ``mid`` and its outer quantiles ``low`` and ``high``.
+
+    A quantile is the least value of its bucket, ``high`` the greatest one.
+    """
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
     below = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = merged.select(*keys, "measure", "bucket", below.alias("below"), F.sum("n").over(group).alias("total"))
-    quartile = [F.min(F.expr(f"if(4 * below >= {k} * total, bucket, null)")).alias(f"q{k}") for k in (1, 3)]
-    return ranked.groupBy(*keys, "measure").agg(F.first("total").alias("n"), *quartile)
+    reached = 100 * F.col("below")
+
+    def quantile(per_cent: Column | int, value: Column) -> Column:
+        return F.min(F.when(reached >= per_cent * F.col("total"), value))
+
+    low, high = ([F.when(F.col("measure") == m, outer[k]) for m, outer in MEASURES.items()] for k in (0, 1))
+    bucket = F.col("bucket")
+    return ranked.groupBy(*keys, "measure").agg(
+        F.first("total").alias("n"), quantile(50, bucket).alias("mid"),
+        quantile(F.coalesce(*low), bucket).alias("low"), quantile(F.coalesce(*high), bucket + step("bucket") - 1).alias("high"),
+    )
 
 
 def thresholds(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -117,11 +139,10 @@ def thresholds(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame
             same &= F.col("lang").eqNullSafe(F.col("lang_0"))
         enough = F.col("n") >= min_documents
         found = found.join(level, same).select(
-            *GROUP, "measure", *[F.when(enough, F.col(c)).otherwise(F.col(f"{c}_{k}")).alias(c) for c in ("n", "q1", "q3")]
+            *GROUP, "measure", *[F.when(enough, F.col(c)).otherwise(F.col(f"{c}_{k}")).alias(c) for c in ("n", "mid", "low", "high")]
         )
-    floor = F.element_at(F.create_map(*[F.lit(x) for name, (least, _) in MEASURES.items() for x in (name, least)]), F.col("measure"))
-    spread = FENCE * F.greatest(F.col("q3") - F.col("q1"), floor)
-    found = found.select(*GROUP, "measure", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
+    mid, low, high = (F.col(c) for c in ("mid", "low", "high"))
+    found = found.select(*GROUP, "measure", (low - MARGIN * (mid - low)).alias("low"), (high + MARGIN * (high - mid)).alias("high"))
     bounds = [
         F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"_qr_{name}_{side}")
         for name in MEASURES for side in ("low", "high")
@@ -135,11 +156,13 @@ def quality(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     Returns the columns of ``docs`` and ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept``, which replace columns of these names. ``base_failed``: fewer than 10 words, or more than 20 % of the words
     in repeated windows of five. Other documents are kept unless a measure (symbols, exclamation and question marks,
-    repeated lines, word length) lies beyond its fences: the quartiles of its language and source, moved outwards by
-    three times their distance or by the measure's least spread.
+    repeated lines, word length) lies beyond its fences. A fence lies beyond an outer quantile of the language and source
+    (``MEASURES``) by ``MARGIN`` times the distance between that quantile and the median, so it moves with both. The only
+    floor is that of rounding: a quantile is as exact as its bucket, and a document is past a high fence only if it still
+    is with one occurrence less, so a single symbol or repeated line in a short text decides nothing.
 
     Null text: no words, so it fails. Null ``lang`` or ``source``: a group like any other. Repeated rows: each is
-    judged and counts. Names starting with ``_qr_`` are reserved.
+    judged and counts. Very long texts are read whole. No rows: no groups, and no rows. Names starting with ``_qr_`` are reserved.
 
     Two passes over the texts: one for the sketches, whose size is that of the groups, one for the verdicts. No text
     is shuffled; the bounds are joined to the documents where they are, broadcast if the stored table is small.
@@ -153,10 +176,10 @@ def quality(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     joined = joined.withColumn("_qr_repeats", covered_words(F.col("_qr_hashes")).cast("long"))
     failed = (F.col("_qr_n_words") < MIN_WORDS) | (100 * F.col("_qr_repeats") > MAX_REPEAT_PERCENT * F.col("_qr_n_words"))
     inside = F.lit(True)
-    for name, column in measures().items():
-        inside &= column <= F.col(f"_qr_{name}_high")
-        if MEASURES[name][1]:
-            inside &= column >= F.col(f"_qr_{name}_low")
+    for name, (low, _) in MEASURES.items():
+        inside &= measures(less=1)[name] <= F.col(f"_qr_{name}_high")
+        if low is not None:
+            inside &= measures()[name] >= F.col(f"_qr_{name}_low")
     done = with_columns(joined, {
         "n_words": F.col("_qr_n_words"),
         "word_chars": F.col("_qr_word_chars"),

@@ -328,3 +328,20 @@ def test_quality_follows_its_group(spark):
     assert not done.kept[1000] and not done.kept[1002] and not done.kept[1003]
     assert done.base_failed[1002] and done.base_failed[1003] and not done.base_failed[1000]
     assert done.n_repeat_words[1003] == 45
+
+
+def test_quality_fences_move_with_their_group(spark):
+    """One text of 50 symbols in 1,000 words passes in the source where such are usual, and fails in the other."""
+    def text(symbols: int) -> str:
+        return " ".join(f"word{k:03}" + "#" * (k % 100 < symbols) for k in range(200))
+
+    rows = [(k, text(k % 7), "en", "odd") for k in range(140)] + [(k, text(0), "en", "plain") for k in range(140, 280)]
+    rows += [(1000, text(5), "en", "odd"), (1001, text(5), "en", "plain"), (1002, text(20), "en", "odd")]
+    once = " ".join(f"word{k:03}" for k in range(19))
+    rows += [(1003, once + " word019#", "en", "plain"), (1004, once + " word019##", "en", "plain")]
+    rows += [(1005, " ".join("abcdefg"[k % 7] + "abcdefg"[k // 7] for k in range(40)), "en", "plain")]
+    done = quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).toPandas().set_index("doc_id")
+    assert done.kept[:280].all()
+    assert done.kept[1000] and not done.kept[1001] and not done.kept[1002]
+    assert done.kept[1003] and not done.kept[1004]  # one symbol decides nothing
+    assert not done.kept[1005] and not done.base_failed[1005]  # words too short for its group
