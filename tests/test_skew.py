@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from minelark.plans import pair_cells
 from minelark.plans.skew import cells, member_pairs, pair_totals
 
 
@@ -73,3 +74,24 @@ def test_copies_follow_the_size_of_the_own_group(spark):
     spread = cells(spark.createDataFrame(rows, "k long, _m long"), ["k"], hot_rows=100, block_rows=20)
     copies = Counter((r.k, r["_m"]) for r in spread.collect())
     assert {copies[k, m] for k, m in rows if k < 5} == {10} and {copies[k, m] for k, m in rows if k >= 5} == {1}
+
+
+@pytest.mark.parametrize("block_rows", [40, 100_000])
+def test_cells_count_pairs_without_shuffling_them(spark, monkeypatch, block_rows):
+    """Cells give final counts: no pair is shuffled, in however many blocks the members are; large blocks are cut by key."""
+    monkeypatch.setattr(pair_cells, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(pair_cells, "LEAST_ROWS", 50)
+    monkeypatch.setattr(pair_cells, "CHUNK_PAIRS", 70)
+    cells = skewed(3) + [(k, 7, 2.0) for k in range(100, 350)]  # one member with very many keys
+    df = spark.createDataFrame([(*c, float(c[1] * 3) if c[1] % 5 else None) for c in cells], "k long, m long, w double, t double")
+    got = pair_totals(df, ["k"], "m", "w", of_member=["t"])
+    want = brute(cells)
+    assert {(r.a, r.b): (r.n, r.dot) for r in got.collect()} == want
+    assert all((r.a_t, r.b_t) == tuple(float(m * 3) if m % 5 else None for m in (r.a, r.b)) for r in got.collect())
+    barred = sorted(want)[::3]
+    without = spark.createDataFrame([p if at % 2 else p for at, p in enumerate(barred)] + [(5000, 5001)], "a long, b long")
+    left = pair_totals(df, ["k"], "m", without=without)
+    assert {(r.a, r.b): r.n for r in left.collect()} == {p: n for p, (n, _) in want.items() if p not in set(barred)}
+    plan = pair_totals(df, ["k"], "m")._jdf.queryExecution().executedPlan().toString()
+    if block_rows == 100_000:
+        assert "SortMergeJoin" not in plan and "HashAggregate" not in plan
