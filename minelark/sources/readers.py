@@ -7,7 +7,6 @@ was dropped or did not parse, in the same scan.
 from __future__ import annotations
 
 from collections import Counter
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,18 +37,21 @@ EXACT_DOUBLE = 2**53
 
 def _fitting(text: Column) -> Column:
     """One bit for each of :data:`TYPES` that holds this value without loss; all of them for a null."""
+    bits = {kind: 1 << k for k, kind in enumerate(TYPES)}
     value = F.trim(text)
     whole = value.rlike(r"^[+-]?[0-9]+$")
     number = value.rlike(r"^[+-]?([0-9]+\.[0-9]*|\.?[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(NaN|Infinity)$")
     as_whole = value.try_cast("bigint")
-    fits = (
-        whole & as_whole.isNotNull(),
-        F.when(whole, as_whole.between(-EXACT_DOUBLE, EXACT_DOUBLE)).otherwise(number & value.try_cast("double").isNotNull()),
-        value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & value.try_cast("date").isNotNull(),
-        F.lower(value).isin("true", "false"),
+    exact = F.when(as_whole.between(-EXACT_DOUBLE, EXACT_DOUBLE), bits["bigint"] | bits["double"]).when(as_whole.isNotNull(), bits["bigint"])
+    # no value but a whole number fits two types, so the first test that holds ends the search
+    return (
+        F.when(value.isNull(), F.lit((1 << len(TYPES)) - 1))
+        .when(whole, exact.otherwise(0))
+        .when(number & value.try_cast("double").isNotNull(), bits["double"])
+        .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & value.try_cast("date").isNotNull(), bits["date"])
+        .when(F.lower(value).isin("true", "false"), bits["boolean"])
+        .otherwise(0)
     )
-    bits = [F.when(fit, F.lit(1 << k)).otherwise(0) for k, fit in enumerate(fits)]
-    return F.when(value.isNull(), F.lit((1 << len(TYPES)) - 1)).otherwise(reduce(Column.__add__, bits))
 
 
 def infer_types(table: DataFrame) -> dict[str, str]:
