@@ -95,3 +95,25 @@ def test_cells_count_pairs_without_shuffling_them(spark, monkeypatch, block_rows
     plan = pair_totals(df, ["k"], "m")._jdf.queryExecution().executedPlan().toString()
     if block_rows == 100_000:
         assert "SortMergeJoin" not in plan and "HashAggregate" not in plan
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_blocks_are_read_where_they_are_stored(spark, monkeypatch, mounted):
+    """However many blocks there are, cells shuffle nothing: what is shuffled grows with the rows, not with rows times blocks."""
+    monkeypatch.setattr(pair_cells, "opened_by_tasks", lambda path: mounted)
+    monkeypatch.setattr(pair_cells, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(pair_cells, "LEAST_ROWS", 50)
+    cells = [(k, m, float(m)) for k in range(60) for m in range(k % 7, 150, 9)]
+    df = spark.createDataFrame(cells, "k long, m long, w double")
+    best = pair_cells.totals(df, ["k"], "m", best=4)
+    for found in (pair_totals(df, ["k"], "m", "w"), best):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("Range" if mounted else "CartesianProduct") in plan and "Exchange" not in plan
+    ends = {}
+    for (a, b), (n, _) in brute(cells).items():
+        ends.setdefault(a, []).append((-n, b))
+        ends.setdefault(b, []).append((-n, a))
+    got = {}
+    for r in best.collect():
+        got.setdefault(r.a, []).append((-r.n, r.b))
+    assert {a: sorted(v)[:4] for a, v in got.items()} == {a: sorted(v)[:4] for a, v in ends.items()}
